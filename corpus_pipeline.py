@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from transitloom.llm import bpe, decontam, quality, simhash
+from transitloom.llm import bpe, decontam, quality, secrets, simhash
 from transitloom.llm.common import materialize
 from transitloom.llm.queries import RANKS
 
@@ -24,6 +24,11 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontam.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its secrets replaced by a mark."""
+    return secrets.redact(docs)
+
+
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digests of ids and decoded bytes."""
     import public_tokenizers as tokenizers
@@ -35,6 +40,7 @@ STAGES = [
     ("quality classifier", quality_stage),
     ("SimHash near-dedup", near_dedup_stage),
     ("benchmark decontamination", decontamination_stage),
+    ("secret scans", secrets_stage),
     ("byte-level BPE encoding and decoding", encoding_stage),
 ]
 

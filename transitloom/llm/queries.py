@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontam, htmltext, langid, quality, simhash
+from . import bpe, decontam, htmltext, langid, lmscore, quality, secrets, simhash
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -27,6 +28,11 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "length", F.sha2("secret", 256).alias("secret_sha256"), "score", "is_secret")
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(_table(spark, sf_dir, "pages"))
 
@@ -35,11 +41,15 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tokenizers
 
     return bpe.encode_texts(_table(spark, sf_dir, "documents"), tokenizers.path(RANKS), tokenizers.PATTERN, keep_ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_html_extraction, op8_benchmark_decontamination, op3_quality_classifier, op5_language_id, op6_simhash_near_dedup, op10_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scans, op2_html_extraction, op8_benchmark_decontamination, op3_quality_classifier, op5_language_id, op6_simhash_near_dedup, op9_lm_scoring, op10_byte_bpe)}
 ORACLES: dict[str, str] = {}
