@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, htmltext, langid, lmscore, quality, secrets, simhash
+from . import bpe, decontam, htmltext, langid, lmscore, quality, secrets, simhash, topk
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -20,6 +20,11 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries = _table(spark, sf_dir, "benchmark").filter("item_id % 20 = 0")
+    return topk.top_k(_table(spark, sf_dir, "documents"), queries)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
@@ -51,5 +56,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(_table(spark, sf_dir, "documents"), tokenizers.path(RANKS), tokenizers.PATTERN, keep_ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scans, op2_html_extraction, op8_benchmark_decontamination, op3_quality_classifier, op5_language_id, op6_simhash_near_dedup, op9_lm_scoring, op10_byte_bpe)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scans, op2_html_extraction, op8_benchmark_decontamination, op3_quality_classifier, op4_exact_top_k, op5_language_id, op6_simhash_near_dedup, op9_lm_scoring, op10_byte_bpe)}
+ORACLES: dict[str, str] = {"op4_exact_top_k": topk.ORACLE}
