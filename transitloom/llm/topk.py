@@ -159,6 +159,26 @@ def search_shard(rows: dict[bytes, dict], ids: np.ndarray, query: Counter, idf:
     return best
 
 
+def _searcher(shared, pa_type: pa.DataType, k: int):
+    """The function that runs all queries on one shard's rows."""
+
+    def run(table: pa.Table) -> pa.Table:
+        queries_, idf_ = shared.value
+        found: dict[bytes, dict] = {}
+        ids = np.zeros(0, np.int64)
+        arrays = ("ord", "tf", "dl", "block", "block_tf", "block_dl")
+        for i, term in enumerate(table.column("term").to_pylist()):
+            if term == _NONE:
+                ids = np.array(table.column("ids")[i].as_py(), np.int64)
+            else:
+                found[term] = {c: table.column(c)[i].values.to_numpy() for c in arrays}
+        hits = [(q, d, s) for q, c in queries_ for s, d in search_shard(found, ids, c, idf_, average, k)]
+        shard = table.column("shard")[0].as_py()
+        return pa.table({"q": pa.array([h[0] for h in hits]).cast(pa_type), "d": pa.array([h[1] for h in hits], pa.int64()), "s": pa.array([h[2] for h in hits], pa.float64()), "salt": pa.array([(shard ^ shard >> 32) % 64] * len(hits), pa.int32())})
+
+    return run
+
+
 def search(index: DataFrame, queries: DataFrame, query_col: str = "item_id", query_text_col: str = "text", id_col: str = "doc_id", k: int = K) -> DataFrame:
     """``(query, id, rank, score)``: for each query text the ``k`` best documents of all shards.
 
@@ -169,6 +189,7 @@ def search(index: DataFrame, queries: DataFrame, query_col: str = "item_id", que
     query_type = queries.schema[query_col].dataType.simpleString()
     rows = queries.select(F.col(query_col).alias("q"), F.col(query_text_col).alias("t")).filter("t is not null and q is not null")
     total = rows.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
+    pa_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[query_type]
     slabs = max(1, -(-int(total) // SLAB_CHARS))
     whole = index.filter(F.col("term") == F.lit(_NONE)).agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n"), F.coalesce(F.sum("total_dl"), F.lit(0)).alias("dl")).first()
     n_docs, average = int(whole["n"]), max(float(whole["dl"]) / max(1, whole["n"]), 1e-9)
@@ -182,22 +203,7 @@ def search(index: DataFrame, queries: DataFrame, query_col: str = "item_id", que
         idf = {t: math.log(1 + (n_docs - n + 0.5) / (n + 0.5)) for t, n in df.items()}
         shared = index.sparkSession.sparkContext.broadcast((own, idf))
 
-        def run(table: pa.Table, shared=shared) -> pa.Table:
-            queries_, idf_ = shared.value
-            found: dict[bytes, dict] = {}
-            ids = np.zeros(0, np.int64)
-            arrays = ("ord", "tf", "dl", "block", "block_tf", "block_dl")
-            for i, term in enumerate(table.column("term").to_pylist()):
-                if term == _NONE:
-                    ids = np.array(table.column("ids")[i].as_py(), np.int64)
-                else:
-                    found[term] = {c: table.column(c)[i].values.to_numpy() for c in arrays}
-            hits = [(q, d, s) for q, c in queries_ for s, d in search_shard(found, ids, c, idf_, average, k)]
-            shard = table.column("shard")[0].as_py()
-            return pa.table({"q": pa.array([h[0] for h in hits]).cast(pa_type), "d": pa.array([h[1] for h in hits], pa.int64()), "s": pa.array([h[2] for h in hits], pa.float64()), "salt": pa.array([(shard ^ shard >> 32) % 64] * len(hits), pa.int32())})
-
-        pa_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[query_type]
-        piece = part.groupBy("shard").applyInArrow(run, f"q {query_type}, d long, s double, salt int")
+        piece = part.groupBy("shard").applyInArrow(_searcher(shared, pa_type, k), f"q {query_type}, d long, s double, salt int")
         out = piece if out is None else out.unionByName(piece)
     order = [F.col("s").desc(), F.col("d")]
     some = out.withColumn("r", F.row_number().over(Window.partitionBy("q", "salt").orderBy(*order))).filter(F.col("r") <= k)
