@@ -159,7 +159,7 @@ def search_shard(rows: dict[bytes, dict], ids: np.ndarray, query: Counter, idf:
     return best
 
 
-def _searcher(shared, pa_type: pa.DataType, k: int):
+def _searcher(shared, pa_type: pa.DataType, average: float, k: int):
     """The function that runs all queries on one shard's rows."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -203,7 +203,7 @@ def search(index: DataFrame, queries: DataFrame, query_col: str = "item_id", que
         idf = {t: math.log(1 + (n_docs - n + 0.5) / (n + 0.5)) for t, n in df.items()}
         shared = index.sparkSession.sparkContext.broadcast((own, idf))
 
-        piece = part.groupBy("shard").applyInArrow(_searcher(shared, pa_type, k), f"q {query_type}, d long, s double, salt int")
+        piece = part.groupBy("shard").applyInArrow(_searcher(shared, pa_type, average, k), f"q {query_type}, d long, s double, salt int")
         out = piece if out is None else out.unionByName(piece)
     order = [F.col("s").desc(), F.col("d")]
     some = out.withColumn("r", F.row_number().over(Window.partitionBy("q", "salt").orderBy(*order))).filter(F.col("r") <= k)
