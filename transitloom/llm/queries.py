@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, htmltext, langid, lmscore, quality, secrets, simhash, topk
+from . import bpe, decontam, htmltext, langid, lmscore, quality, secrets, simhash, suffixdedup, topk
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -42,6 +42,10 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(_table(spark, sf_dir, "pages"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.deduplicate(_table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -56,5 +60,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(_table(spark, sf_dir, "documents"), tokenizers.path(RANKS), tokenizers.PATTERN, keep_ids=False)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scans, op2_html_extraction, op8_benchmark_decontamination, op3_quality_classifier, op4_exact_top_k, op5_language_id, op6_simhash_near_dedup, op9_lm_scoring, op10_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scans, op2_html_extraction, op7_suffix_array_dedup, op8_benchmark_decontamination, op3_quality_classifier, op4_exact_top_k, op5_language_id, op6_simhash_near_dedup, op9_lm_scoring, op10_byte_bpe)}
 ORACLES: dict[str, str] = {"op4_exact_top_k": topk.ORACLE}
