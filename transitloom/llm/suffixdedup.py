@@ -79,11 +79,11 @@ def transform(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order up to ``depth`` symbols by prefix doubling, and the Burrows-Wheeler transform."""
     n = len(text)
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    order, span = np.argsort(rank, kind="stable"), 1
+    order, span = np.argsort(rank), 1
     while span < depth:
         key = rank * (n + 1)
         key[: n - span] += rank[span:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         step = np.concatenate([[0], (np.diff(key[order]) != 0).astype(np.int64)])
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(step)
@@ -104,20 +104,25 @@ def long_prefixes(bwt: np.ndarray, least: int) -> np.ndarray:
     between these. Expansion stops below ``least``; what is not settled reaches it.
     """
     n = len(bwt)
-    order = np.argsort(bwt, kind="stable")  # remainder's rank for each rank
+    order = np.argsort(bwt, kind="stable").astype(np.int32)  # remainder's rank for each rank
     first = np.ones(n, bool)
     first[1:] = bwt[order[1:]] != bwt[order[:-1]]
     bound = first.copy()
-    open_ = np.flatnonzero(~first)
+    open_ = np.flatnonzero(~first).astype(np.int32)
     low, high = order[open_ - 1], order[open_]
+    stale = 0  # settled ranks still listed: the lists are packed only when these are many
+    counts = np.empty(n, np.int32)
     for _ in range(1, least):
-        counts = np.cumsum(bound, dtype=np.int32)
-        reached = counts[high] != counts[low]
-        if not reached.any():
+        np.cumsum(bound, out=counts)
+        late = open_[np.take(counts, high) != np.take(counts, low)]
+        late = late[~bound[late]]
+        if not len(late):
             break
-        bound[open_[reached]] = True
-        keep = ~reached
-        open_, low, high = open_[keep], low[keep], high[keep]
+        bound[late] = True
+        stale += len(late)
+        if stale * 8 > len(open_):
+            keep = ~bound[open_]
+            open_, low, high, stale = open_[keep], low[keep], high[keep], 0
     return ~bound
 
 
