@@ -1,10 +1,348 @@
-"""The registered queries of the geodata engine and their SQL."""
+"""The registered queries of the geodata engine, each with the DuckDB SQL of its result."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from transitloom.functions import country, geo, text
+from transitloom.operators import catalog, match, policy, registry, rules, sequence
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def query(sql: str | None = None):
+    """Register a query, with its SQL if there is any."""
+
+    def put(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return put
+
+
+# ---- trips: a user's events stand for a trip's calls, error and signup for unresolved places
+
+
+def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _table(spark, sf_dir, "events")
+    return e.select(
+        F.col("user_id").alias("trip"), F.struct("ts", "event_id").alias("ord"), F.col("event_type").alias("place"), F.col("event_type").isin("error", "signup").alias("target"),
+        (F.col("event_type") == "purchase").alias("anchor"), F.round(F.unix_micros(F.col("ts").cast("timestamp")) / 60e6, 3).alias("minutes"),
+    )
+
+
+_RUNS = """
+WITH c AS (SELECT *, event_type IN ('error', 'signup') AS target, lag(event_type) OVER w AS before FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+k AS (SELECT user_id FROM events GROUP BY 1 HAVING count(DISTINCT event_type) >= 2),
+f AS (SELECT c.*, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, count(*) OVER (PARTITION BY user_id) AS total,
+  row_number() OVER (PARTITION BY user_id, target ORDER BY ts, event_id) AS m FROM c JOIN k USING (user_id) WHERE before IS NULL OR before <> event_type),
+r AS (SELECT *, n - m AS island, (n = 1 OR n = total) AS terminus, count(*) OVER (PARTITION BY user_id, target, n - m) AS run FROM f)
+"""
+
+
+@query(_RUNS + "SELECT event_type AS place, max(run) AS max_run, bool_or(terminus) AS terminus, count(DISTINCT user_id) AS trips FROM r WHERE target GROUP BY 1")
+def unresolved_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.impacts(_calls(spark, sf_dir))
+
+
+@query(_RUNS + "SELECT event_type AS place, user_id AS trip, count(*) AS calls, max(run) AS longest FROM r WHERE target AND (run >= 3 OR terminus) GROUP BY 1, 2")
+def run_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.runs(_calls(spark, sf_dir)).filter("target and (run >= 3 or terminus)").groupBy("place", "trip").agg(F.count(F.lit(1)).alias("calls"), F.max("run").cast("long").alias("longest"))
+
+
+@query("""
+WITH t AS (SELECT user_id, event_id, ts FROM events WHERE event_type IN ('error', 'signup')), a AS (SELECT user_id, event_id AS aid, ts AS ats FROM events WHERE event_type = 'purchase')
+SELECT t.user_id AS trip, t.event_id, (SELECT max_by(aid, (ats, aid)) FROM a WHERE a.user_id = t.user_id AND (ats, aid) < (ts, event_id)) AS previous_id,
+  (SELECT min_by(aid, (ats, aid)) FROM a WHERE a.user_id = t.user_id AND (ats, aid) > (ts, event_id)) AS following_id FROM t""")
+def timed_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sequence.anchors(_calls(spark, sf_dir))
+    return found.select("trip", F.col("ord.event_id").alias("event_id"), F.col("previous.ord.event_id").alias("previous_id"), F.col("following.ord.event_id").alias("following_id"))
+
+
+@query("""
+WITH t AS (SELECT user_id, event_id, event_type, ts FROM events WHERE event_type IN ('error', 'signup')), a AS (SELECT user_id, event_id AS aid, ts AS ats FROM events WHERE event_type = 'purchase'),
+x AS (SELECT *, (SELECT max((ats, aid)) FROM a WHERE a.user_id = t.user_id AND (ats, aid) < (ts, event_id)) IS NOT NULL AS p, (SELECT min((ats, aid)) FROM a WHERE a.user_id = t.user_id AND (ats, aid) > (ts, event_id)) IS NOT NULL AS f FROM t)
+SELECT event_type AS place, p AS has_previous, f AS has_following, count(*) AS occurrences, min(user_id) AS first_trip FROM x GROUP BY 1, 2, 3""")
+def route_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = sequence.contexts(sequence.anchors(_calls(spark, sf_dir)))
+    return c.groupBy("place", F.col("prev_place").isNotNull().alias("has_previous"), F.col("next_place").isNotNull().alias("has_following")).agg(F.sum("occurrences").alias("occurrences"), F.min("sample_trip").alias("first_trip"))
+
+
+# ---- names
+
+
+def _sql_normal(c: str, extra: bool) -> str:
+    pre = f"lower(replace(replace({c}, 'ß', 'ss'), 'ẞ', 'ss'))"
+    if not extra:
+        return f"trim(regexp_replace(strip_accents({pre}), '[^a-z0-9]+', ' ', 'g'))"
+    out = f"trim(regexp_replace(replace(strip_accents(translate({pre}, 'łøđ', 'lod')), '&', ' a '), '[^a-z0-9]+', ' ', 'g'))"
+    for short, full in text.ABBREVIATIONS.items():
+        out = f"regexp_replace({out}, '\\b{short}\\b', '{full}', 'g')"
+    return out
+
+
+@query(f"SELECT doc_id, md5({_sql_normal('text', True)}) AS normalized FROM documents")
+def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", F.md5(text.normalize_text(F.col("text"))).alias("normalized"))
+
+
+@query(f"SELECT doc_id, md5({_sql_normal('text', False)}) AS identity FROM documents")
+def identity_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", F.md5(text.identity_text(F.col("text"))).alias("identity"))
+
+
+_NAME = "replace(p_name, ' ', ',')"
+
+
+@query(f"""SELECT p_partkey, array_to_string(list_sort(list_distinct(list_filter([{_sql_normal(_NAME, True)}, {_sql_normal("string_split(" + _NAME + ", ',')[-1]", True)}, {_sql_normal("p_brand || ',' || " + _NAME, True)}], lambda x: x <> ''))), '|') AS identities FROM part""")
+def name_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.replace("p_name", F.lit(" "), F.lit(","))
+    return _table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.array_sort(text.stop_identities(name, F.col("p_brand"))), "|").alias("identities"))
+
+
+@query()
+def query_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.replace("p_name", F.lit(" "), F.lit(","))
+    return _table(spark, sf_dir, "part").select("p_partkey", F.array_join(text.query_variants(name, F.lit(""), F.lit("SK")), "|").alias("variants"))
+
+
+_CODES = ", ".join(f"('{k}', '{v}')" for k, v in country.TO_PLATE.items())
+
+
+@query(f"""WITH m(iso, plate) AS (VALUES {_CODES}), n AS (SELECT n_nationkey, n_name, upper(substr(n_name, 1, 2)) AS code FROM nation)
+SELECT n_nationkey, coalesce(plate, code) AS plate, CASE code WHEN 'AT' THEN 'A' WHEN 'DE' THEN 'D' ELSE code END AS border FROM n LEFT JOIN m ON iso = code""")
+def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.upper(F.substring("n_name", 1, 2))
+    return _table(spark, sf_dir, "nation").select("n_nationkey", country.plate_code(code).alias("plate"), country.border_code(code).alias("border"))
+
+
+@query(f"""SELECT c_custkey, round(sqrt(pow((la - 50.0) * {geo.DEGREE}, 2) + pow((lo - 15.0) * {geo.DEGREE} * cos(radians((la + 50.0) / 2)), 2)), 3) AS metres
+FROM (SELECT c_custkey, 48.5 + (c_custkey % 251) * 0.01 AS la, 12.0 + (c_custkey % 691) * 0.01 AS lo FROM customer)""".replace("0.01 AS", "0.01::DOUBLE AS"))
+def geo_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lat, lon = F.lit(48.5) + F.col("c_custkey") % 251 * F.lit(0.01), F.lit(12.0) + F.col("c_custkey") % 691 * F.lit(0.01)
+    return _table(spark, sf_dir, "customer").select("c_custkey", F.round(geo.distance_metres(lat, lon, F.lit(50.0), F.lit(15.0)), 3).alias("metres"))
+
+
+# ---- catalogues: documents of src0 to src9 stand for the primary one, the text for the name
+
+
+_CAT = "SELECT doc_id, source, lang, md5(text) AS name, length(text) AS n FROM documents"
+_PRIM = "CAST(substr(source, 4) AS INT) < 10"
+
+
+def _catalogues(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    d = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.md5("text").alias("name"), F.length("text").cast("long").alias("n"))
+    is_primary = F.substring("source", 4, 9).cast("int") < 10
+    return d.filter(is_primary), d.filter(~is_primary)
+
+
+@query(f"SELECT name, lang, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY name, lang ORDER BY doc_id) AS rn FROM ({_CAT})) WHERE rn = 1")
+def catalog_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = _catalogues(spark, sf_dir)
+    return catalog.first_wins(a.unionByName(b), ["name", "lang"], [F.col("doc_id")]).select("name", "lang", "doc_id")
+
+
+_MERGE = f"""WITH c AS ({_CAT}), p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name, lang ORDER BY doc_id DESC) AS rn FROM c WHERE {_PRIM}) WHERE rn = 1),
+s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name, lang ORDER BY doc_id) AS rn FROM c WHERE NOT {_PRIM}) WHERE rn = 1) """
+
+
+@query(_MERGE + "SELECT name, lang, doc_id, 'primary' AS origin FROM p UNION ALL SELECT name, lang, doc_id, 'supplement' FROM s WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.name = s.name AND p.lang = s.lang)")
+def catalog_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.merge(*_catalogues(spark, sf_dir), ["name", "lang"], ["doc_id"]).select("name", "lang", "doc_id", "origin")
+
+
+@query(_MERGE + "SELECT name, lang, p.source AS primary_value, s.source AS extra_value FROM p JOIN s USING (name, lang) WHERE p.source <> s.source")
+def merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.conflicts(*_catalogues(spark, sf_dir), ["name", "lang"], ["doc_id"], "source")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def review_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id", "left_anti").select("doc_id", "source")
+
+
+@query("SELECT count(*) AS n, sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, sum(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels")
+def summary_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "labels").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("toxic") == 1).alias("toxic"))
+
+
+# ---- policy: an order is a trip, a customer a route, a supplier's nation the country, the quantity the kilometre
+
+
+@query("SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem WHERE l_returnflag <> 'R' AND EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')")
+def active_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    active = _table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return _table(spark, sf_dir, "lineitem").filter("l_returnflag <> 'R'").join(active, "l_orderkey", "left_semi").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+
+
+def _policy_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = lambda name: _table(spark, sf_dir, name)
+    home = F.element_at(F.array(*map(F.lit, ["CZ", "D", "A", "PL", "SK"])), (F.col("s_nationkey") % 5 + 1).cast("int"))
+    where = t("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.when(F.col("s_nationkey") == 24, "H").otherwise(home).alias("country"))
+    trips = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("route"))
+    return t("lineitem").select("l_orderkey", "l_suppkey", F.col("l_quantity").alias("km")).join(trips, "l_orderkey").join(where, "l_suppkey").select("route", F.col("l_orderkey").alias("trip"), "country", "km")
+
+
+_CALLS = """WITH s AS (SELECT s_suppkey, CASE WHEN s_nationkey = 24 THEN 'H' ELSE ['CZ', 'D', 'A', 'PL', 'SK'][s_nationkey % 5 + 1] END AS country FROM supplier),
+c AS (SELECT o_custkey AS route, l_orderkey AS trip, country, l_quantity AS km FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN s ON s_suppkey = l_suppkey),
+m AS (SELECT route, trip, count(*) FILTER (country = 'CZ') AS n_home, count(*) FILTER (country <> 'CZ') AS n_foreign, max(km) - min(km) AS span FROM c GROUP BY 1, 2),
+d AS (SELECT route, trip, max(x) AS depth FROM (SELECT f.route, f.trip, f.km, min(abs(f.km - h.km)) AS x FROM c f JOIN c h ON f.route = h.route AND f.trip = h.trip WHERE f.country <> 'CZ' AND h.country = 'CZ' GROUP BY ALL) GROUP BY 1, 2),
+t AS (SELECT m.*, depth FROM m LEFT JOIN d USING (route, trip)) """
+
+
+@query(_CALLS + "SELECT route, trip, n_home, n_foreign, span, depth FROM t")
+def trip_span_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return policy.trip_metrics(_policy_calls(spark, sf_dir)).select("route", "trip", "n_home", "n_foreign", "span", "depth")
+
+
+@query(_CALLS + """, r AS (SELECT c_custkey AS route, c_mktsegment = 'BUILDING' AS integrated, c_custkey % 7 = 0 AS declared FROM customer),
+f AS (SELECT route, array_to_string(list_sort(list(DISTINCT country)), ';') AS countries, bool_or(country <> 'CZ') AS abroad, bool_or(country = 'H') AS far FROM c GROUP BY 1),
+i AS (SELECT route, bool_or(n_home = 0) AS fo, max(span) AS span, max(depth) AS depth FROM t WHERE n_foreign > 0 GROUP BY 1),
+x AS (SELECT r.route, coalesce(countries, '') AS countries, span, depth, CASE WHEN NOT coalesce(abroad, false) AND NOT declared THEN 'domestic'
+ WHEN NOT coalesce(abroad, false) THEN 'international_metadata_without_foreign_geography' WHEN far THEN 'non_adjacent_country' WHEN fo THEN 'foreign_only_trip'
+ WHEN span > CASE WHEN integrated THEN 200 ELSE 120 END THEN 'trip_span_exceeds_limit' WHEN depth > CASE WHEN integrated THEN 80 ELSE 60 END THEN 'foreign_depth_exceeds_limit' ELSE 'regional_adjacent' END AS reason
+ FROM r LEFT JOIN f USING (route) LEFT JOIN i USING (route))
+SELECT route, reason IN ('domestic', 'regional_adjacent') AS keep, reason, countries, CASE WHEN reason IN ('trip_span_exceeds_limit', 'foreign_depth_exceeds_limit', 'regional_adjacent') THEN span END AS maximum_span,
+ CASE WHEN reason IN ('trip_span_exceeds_limit', 'foreign_depth_exceeds_limit', 'regional_adjacent') THEN depth END AS maximum_depth FROM x""")
+def route_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routes = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("route"), F.when(F.col("c_custkey") % 7 == 0, "M").otherwise("A").alias("kind"), (F.col("c_mktsegment") == "BUILDING").alias("integrated"))
+    return policy.classify(_policy_calls(spark, sf_dir), routes, ["A", "D", "PL", "SK"], ["M", "N", "P"])
+
+
+@query(f"""SELECT c_custkey, substr(sha1(concat_ws(':', c_name, c_mktsegment)), 1, 12) AS id, CASE WHEN contains({_sql_normal('c_name', False)}, 'clo') THEN 'manual-border-call' WHEN c_nationkey = 0 THEN 'targeted-cz-osm' ELSE 'targeted-europe-osm' END AS stage
+FROM customer WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = c_nationkey AND s_suppkey % 3 = c_custkey % 3)""")
+def retained_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    have = _table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("c_nationkey"), (F.col("s_suppkey") % 3).alias("third")).distinct()
+    left = _table(spark, sf_dir, "customer").withColumn("third", F.col("c_custkey") % 3).join(have, ["c_nationkey", "third"], "left_anti")
+    return left.select("c_custkey", text.short_id(F.col("c_name"), F.col("c_mktsegment")).alias("id"), text.stage_of(F.col("c_name"), F.when(F.col("c_nationkey") == 0, "CZ").otherwise("D")).alias("stage"))
+
+
+# ---- rules
+
+
+_RULES = [(1, "000500", "A", "bus"), (2, "000100-000900", "A", "rail"), (3, "000800-001600", "A", "bus"), (4, "0001*", "A", "tram"), (5, "*", "A", "bus"), (6, "00050*", "A", "bus"), (7, "9*5", "A", "bus"), (8, "001500-000100", "A", "bus"), (9, "000500", "A", "rail"), (10, "000100-000900", "B", "bus")]
+_RULE_SQL = "WITH r(id, licence, agency, mode) AS (VALUES " + ", ".join(map(str, _RULES)) + """), p AS (SELECT *, CASE WHEN regexp_matches(licence, '^[0-9]+$') THEN 3
+ WHEN regexp_matches(licence, '^[0-9]+-[0-9]+$') AND length(split_part(licence, '-', 1)) = length(split_part(licence, '-', 2)) AND split_part(licence, '-', 1) <= split_part(licence, '-', 2) THEN 2
+ WHEN regexp_matches(licence, '^[0-9]*\\*$') THEN 1 END AS kind FROM r),
+q AS (SELECT *, CASE kind WHEN 1 THEN rtrim(licence, '*') WHEN 2 THEN split_part(licence, '-', 1) WHEN 3 THEN licence END AS low, CASE kind WHEN 1 THEN rtrim(licence, '*') WHEN 2 THEN split_part(licence, '-', 2) WHEN 3 THEN licence END AS high FROM p),
+z AS (SELECT *, CASE kind WHEN 1 THEN length(low) WHEN 2 THEN -(CAST(high AS BIGINT) - CAST(low AS BIGINT)) WHEN 3 THEN 0 END AS narrowness FROM q) """
+
+
+def _rules(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(_RULES, "id int, licence string, agency string, mode string")
+
+
+@query(_RULE_SQL + "SELECT id, kind, low, high, narrowness FROM z")
+def licence_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.parse(_rules(spark)).select("id", "kind", "low", "high", "narrowness")
+
+
+@query(_RULE_SQL + """SELECT a.id AS left_id, b.id AS right_id FROM z a JOIN z b ON a.id < b.id AND a.kind = b.kind AND a.narrowness = b.narrowness AND a.agency = b.agency AND a.mode <> b.mode
+WHERE CASE WHEN a.kind = 1 THEN starts_with(a.low, b.low) OR starts_with(b.low, a.low) ELSE length(a.low) = length(b.low) AND a.low <= b.high AND b.low <= a.high END""")
+def rule_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.conflicts(_rules(spark), "mode")
+
+
+@query(_RULE_SQL + """, n AS (SELECT p_partkey, lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS licence FROM part),
+x AS (SELECT p_partkey, n.licence, z.id AS rule_id, kind, row_number() OVER (PARTITION BY p_partkey ORDER BY kind DESC, narrowness DESC, z.id) AS rn FROM n JOIN z ON
+ CASE kind WHEN 1 THEN starts_with(n.licence, low) ELSE length(n.licence) = length(low) AND n.licence BETWEEN low AND high END)
+SELECT p_partkey, licence, rule_id, kind FROM x WHERE rn = 1""")
+def rule_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = _table(spark, sf_dir, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 6, "0").alias("licence"))
+    return rules.resolve(n, _rules(spark))
+
+
+# ---- matching
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", (F.lit(48.5) + F.col("p_partkey") % 251 * 0.01).alias("lat"), (F.lit(12.0) + F.col("p_partkey") % 691 * 0.01).alias("lon"))
+    stops = p.filter("p_partkey % 20 = 0").select(F.col("p_partkey").alias("stop"), "p_brand", F.array(text.normalize_text(F.col("p_name"))).alias("targets"), F.col("lat").alias("own_lat"), F.col("lon").alias("own_lon"))
+    return stops.join(p.select("p_brand", F.col("p_partkey").alias("ord"), "lat", "lon", F.array(text.normalize_text(F.col("p_name"))).alias("names")), "p_brand").filter("stop <> ord")
+
+
+@query()
+def fuzzy_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return match.fuzzy(_pairs(spark, sf_dir), 0.7).select("stop", "ord", F.round("score", 6).alias("score"))
+
+
+@query()
+def route_supported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return match.route_supported(_pairs(spark, sf_dir)).select("stop", "ord", F.round("combined", 6).alias("combined"))
+
+
+@query()
+def platform_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = _pairs(spark, sf_dir).filter(F.arrays_overlap("targets", "names")).withColumn("rank", F.when(F.col("ord") % 2 == 0, 0).otherwise(1))
+    return match.exact_choice(near.withColumns({"lat": F.floor(F.col("lat") * 10) / 10 + F.col("ord") % 5 * 0.001, "lon": F.floor(F.col("lon") / 3) * 3})).select("stop", "positions", "clusters", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+
+
+@query("""SELECT c_nationkey, c_mktsegment, count(*) AS n, round(avg(48.5 + (c_custkey % 251) * 0.01::DOUBLE), 6) AS lat FROM customer GROUP BY 1, 2""")
+def centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.lit(48.5) + F.col("c_custkey") % 251 * F.lit(0.01)), 6).alias("lat"))
+
+
+# ---- registry
+
+
+_REG = "WITH s AS (SELECT s_suppkey // 2 AS id, CASE WHEN s_suppkey % 50 = 0 THEN 91.0 ELSE 50.0 END AS lat, CASE WHEN s_suppkey % 9 = 0 THEN s_suppkey // 2 + s_suppkey % 4 WHEN s_suppkey % 31 = 0 THEN -1 END AS m FROM supplier) "
+
+
+@query(_REG + """SELECT 'coordinates' AS "check", id FROM s WHERE lat > 90 UNION ALL SELECT 'repeated id', id FROM s GROUP BY id HAVING count(*) > 1 UNION ALL SELECT 'missing target', id FROM s WHERE m IS NOT NULL AND m NOT IN (SELECT id FROM s)
+UNION ALL SELECT 'merged into itself', id FROM s WHERE m = id UNION ALL SELECT 'chain', id FROM s WHERE m <> id AND m IN (SELECT id FROM s WHERE m IS NOT NULL)""")
+def registry_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    half = F.floor(k / 2)
+    stops = _table(spark, sf_dir, "supplier").select(half.alias("id"), F.when(k % 50 == 0, 91.0).otherwise(50.0).alias("lat"), F.lit(10.0).alias("lon"), F.when(k % 9 == 0, half + k % 4).when(k % 31 == 0, -1).alias("merged_into"))
+    return registry.problems(stops)
+
+
+@query("""WITH k AS (SELECT s_suppkey AS id, s_name AS key FROM supplier WHERE s_suppkey % 3 = 0), w AS (SELECT DISTINCT s_name AS key FROM supplier), h AS (SELECT key, min(id) AS id FROM k GROUP BY 1)
+SELECT w.key, coalesce(h.id, (SELECT max(id) FROM k) + row_number() OVER (PARTITION BY h.id IS NULL ORDER BY w.key)) AS id, h.id IS NULL AS is_new FROM w LEFT JOIN h USING (key)""")
+def promote_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _table(spark, sf_dir, "supplier")
+    return registry.allocate(s.filter("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("key")), s.select(F.col("s_name").alias("key")))
+
+
+@query("SELECT p_brand AS key, min(p_partkey) AS id FROM part WHERE p_size > 20 AND p_brand NOT IN (SELECT p_brand FROM part WHERE p_partkey <= 20) GROUP BY 1")
+def promote_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _table(spark, sf_dir, "part")
+    new = p.filter("p_size > 20").join(p.filter("p_partkey <= 20").select("p_brand").distinct(), "p_brand", "left_anti")
+    return catalog.first_wins(new, ["p_brand"], [F.col("p_partkey")]).select(F.col("p_brand").alias("key"), F.col("p_partkey").alias("id"))
+
+
+@query("SELECT substr(lpad(CAST(p_partkey * 7 AS VARCHAR), 6, '0'), 1, 4) AS code, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1")
+def duplicate_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.substring(F.lpad((F.col("p_partkey") * 7).cast("string"), 6, "0"), 1, 4)
+    return _table(spark, sf_dir, "part").groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
+@query("""SELECT c_custkey, CASE WHEN la > 49.005 AND la < 50.005 AND lo > 13.005 AND lo < 14.005 THEN 'north' END AS region FROM (SELECT c_custkey, 48.5 + (c_custkey % 251) * 0.01::DOUBLE AS la, 12.0 + (c_custkey % 691) * 0.01::DOUBLE AS lo FROM customer)""")
+def polygon_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lat, lon = F.lit(48.5) + F.col("c_custkey") % 251 * F.lit(0.01), F.lit(12.0) + F.col("c_custkey") % 691 * F.lit(0.01)
+    ring = F.array(*[F.struct(F.lit(a).alias("lat"), F.lit(b).alias("lon")) for a, b in ((49.005, 13.005), (49.005, 14.005), (50.005, 14.005), (50.005, 13.005))])
+    return _table(spark, sf_dir, "customer").select("c_custkey", F.when(geo.in_polygon(lat, lon, ring), "north").alias("region"))
+
+
+@query("""WITH v(ns, lo, hi, target) AS (VALUES ('1-URGENT', DATE '1993-01-01', DATE '1995-06-30', 7), ('2-HIGH', DATE '1992-01-01', DATE '1994-12-31', 8))
+SELECT o_orderkey, target FROM orders JOIN v ON ns = o_orderpriority AND CAST(o_orderdate AS DATE) BETWEEN lo AND hi""")
+def interval_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = spark.createDataFrame([("1-URGENT", "19930101", "19950630", 7), ("2-HIGH", "19920101", "19941231", 8)], "o_orderpriority string, lo string, hi string, target int")
+    day = F.col("o_orderdate").cast("date")
+    return _table(spark, sf_dir, "orders").join(F.broadcast(v), "o_orderpriority").filter(day.between(F.to_date("lo", "yyyyMMdd"), F.to_date("hi", "yyyyMMdd"))).select("o_orderkey", "target")
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CASE WHEN CAST(json_extract(props, '$.k') AS BIGINT) % 2 = 0 THEN 'stop' ELSE 'poi' END AS kind FROM events")
+def element_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.from_json("props", "k long")["k"]
+    return _table(spark, sf_dir, "events").select("event_id", k.alias("k"), F.when(k % 2 == 0, "stop").otherwise("poi").alias("kind"))
