@@ -44,6 +44,8 @@ def train(texts: dict[str, list[bytes]], order: int = ORDER) -> ContextTrees:
     """Count contexts of up to ``order`` bytes and freeze the code lengths."""
     langs = sorted(texts)
     n_langs = len(langs)
+    if not langs:
+        return ContextTrees([], [], [], [])
     joined = []
     for lang in langs:
         # a context never reaches over a text's start: order zeros stand before it
@@ -178,7 +180,7 @@ def predict(docs: DataFrame, trees: ContextTrees, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         order = len(model.children) - 1
-        pad = bytes(order)
+        pad = bytes(max(order, 0))
         for batch in batches:
             texts = [v.as_py() for v in batch.column(1)]
             preds, scores = ["und"] * len(texts), [0.0] * len(texts)
