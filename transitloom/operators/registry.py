@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from transitloom.functions.geo import distance_metres
+
 
 def problems(stops: DataFrame) -> DataFrame:
     """``(check, id)`` for stops(id, key, lat, lon, merged_into): bad coordinates, repeated ids, dangling, self and chained merges."""
@@ -17,6 +19,52 @@ def problems(stops: DataFrame) -> DataFrame:
     return bad.unionByName(twice).unionByName(dangling).unionByName(own).unionByName(chain)
 
 
+#: Metres from which stops of one key are different stops.
+DISTINCT = 75.0
+
+
+def _near(lat: str, lon: str, lat2: str, lon2: str) -> Column:
+    metres = distance_metres(F.col(lat), F.col(lon), F.col(lat2), F.col(lon2))
+    return F.coalesce(metres < DISTINCT, F.lit(True))  # a stop without a position may be any of its key
+
+
+def same_place(stops: DataFrame) -> DataFrame:
+    """Pairs of different ids of one key that are less than ``DISTINCT`` metres apart."""
+    one = stops.groupBy("key", "id").agg(F.min(F.struct("ord", "lat", "lon")).alias("s")).select("key", "id", F.col("s.lat").alias("lat"), F.col("s.lon").alias("lon"))
+    other = one.select("key", F.col("id").alias("other"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    return one.join(other, "key").filter(F.col("id") < F.col("other")).filter(distance_metres(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) < DISTINCT).select("key", "id", "other")
+
+
+def reuse(known: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``(cand, key, id)``: of the known stops (id, ord, key, lat, lon) of a candidate's key the first within ``DISTINCT`` metres, or null.
+
+    A stop without coordinates on either side counts as near. Candidates: cand, key, lat, lon.
+    """
+    own = known.select("key", F.col("id"), F.col("ord"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    hit = candidates.join(own, "key").filter(_near("lat", "lon", "lat2", "lon2")).groupBy("cand").agg(F.min(F.struct("ord", "id"))["id"].alias("id"))
+    return candidates.select("cand", "key").join(hit, "cand", "left")
+
+
+def decide(decision: Column, reason: Column, accept_new: bool) -> Column:
+    """What is said of a candidate; where nothing is, candidates that are new by ``reason`` are new if they are accepted."""
+    said = F.trim(F.coalesce(decision, F.lit("")))
+    return F.when((said == "") & F.lit(accept_new) & F.coalesce(reason == "new", F.lit(False)), "new").otherwise(said)
+
+
+def alias_target(target: Column, suggestion: Column) -> Column:
+    """The target that is said, else a suggestion of exactly one."""
+    said, other = (F.trim(F.coalesce(c, F.lit(""))) for c in (target, suggestion))
+    return F.when((said == "") & ~other.contains(";"), other).otherwise(said)
+
+
+def table_kind(rows: DataFrame) -> str:
+    """``stops``, ``posts`` or ``places`` by a column that only that kind of candidates has."""
+    kinds = [kind for kind, column in (("stops", "provisional_id"), ("posts", "post_key"), ("places", "group_key")) if column in rows.columns]
+    if not kinds:
+        raise ValueError("candidates must have provisional_id, post_key or group_key")
+    return kinds[0]
+
+
 def allocate(known: DataFrame, candidates: DataFrame) -> DataFrame:
     """``(key, id, is_new)``: the smallest known id of a candidate's key, else the next free ids in key order.
 

@@ -36,6 +36,67 @@ def conflicts(rules: DataFrame, value: str) -> DataFrame:
     return p.alias("a").join(p.alias("b"), same & (F.col(f"a.{value}") != F.col(f"b.{value}")) & overlaps("a", "b")).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"))
 
 
+def line_guard(c: Column) -> Column:
+    """``struct(low, high)`` of a guard like ``12`` or ``10-20``; null if blank or not valid."""
+    low, high = (F.regexp_extract(c, "^([0-9]+)(?:-([0-9]+)?)?$", i) for i in (1, 2))
+    ends = F.struct(F.nullif(low, F.lit("")).cast("long").alias("low"), F.coalesce(F.nullif(high, F.lit("")), F.nullif(low, F.lit(""))).cast("long").alias("high"))
+    return F.when(ends["low"] <= ends["high"], ends)
+
+
+def guards_disjoint(a: str, b: str) -> Column:
+    """Can two rules with ``expected_mode, public_line`` never apply to one line? A guard that is not valid never applies."""
+    left, right = (line_guard(F.col(f"{x}.public_line")) for x in (a, b))
+    invalid = [(F.col(f"{x}.public_line") != "") & g.isNull() for x, g in ((a, left), (b, right))]
+    apart = F.coalesce((left["high"] < right["low"]) | (right["high"] < left["low"]), F.lit(False))
+    return (F.col(f"{a}.expected_mode") != F.col(f"{b}.expected_mode")) | invalid[0] | invalid[1] | apart
+
+
+# Modes of a rule and the fields that a presentation rule sets.
+MODES = "AETLMP"
+PRESENTED = ("route_short_name", "route_color", "route_text_color")
+
+
+def _row_errors(rows: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame:
+    found = F.array_compact(F.array(*[F.when(wrong, F.lit(text)) for wrong, text in checks]))
+    return rows.select("id", F.explode(found).alias("error"))
+
+
+def _common(rows: DataFrame) -> tuple[DataFrame, list[tuple[Column, str]]]:
+    checks = [
+        (F.col("kind").isNull(), "invalid licence"),
+        ((F.col("agency_id") != "") & ~F.col("agency_id").rlike("^[0-9]+$"), "agency is not a number"),
+        (F.col("reason") == "", "reason is required"),
+    ]
+    return parse(rows), checks
+
+
+def _pair_errors(rows: DataFrame, differ: Column, apart: Column | None = None) -> DataFrame:
+    """Overlapping pairs of equally specific rules; a rule for any agency differs in specificity from one with an agency."""
+    p = parse(rows).filter("kind is not null")
+    same = (F.col("a.id") < F.col("b.id")) & (F.col("a.kind") == F.col("b.kind")) & (F.col("a.narrowness") == F.col("b.narrowness")) & (F.col("a.agency_id") == F.col("b.agency_id"))
+    hit = same & differ & overlaps("a", "b")
+    hit = hit if apart is None else hit & ~apart
+    return p.alias("a").join(p.alias("b"), hit).select(F.col("b.id").alias("id"), F.concat(F.lit("conflicts with "), F.col("a.id").cast("string")).alias("error"))
+
+
+def mode_errors(rows: DataFrame) -> DataFrame:
+    """``(id, error)`` of rules (id, agency_id, licence, public_line, expected_mode, effective_mode, reason), all text but id."""
+    p, checks = _common(rows)
+    checks.append(((F.col("public_line") != "") & line_guard(F.col("public_line")).isNull(), "invalid line guard"))
+    checks += [(~F.col(c).isin(*MODES), f"unknown {c}") for c in ("expected_mode", "effective_mode")]
+    checks.append((F.col("expected_mode") == F.col("effective_mode"), "changes nothing"))
+    return _row_errors(p, checks).unionByName(_pair_errors(rows, F.lit(True), guards_disjoint("a", "b")))
+
+
+def presentation_errors(rows: DataFrame) -> DataFrame:
+    """``(id, error)`` of rules (id, agency_id, licence, route_short_name, route_color, route_text_color, reason)."""
+    p, checks = _common(rows)
+    checks.append((F.concat(*PRESENTED) == "", "overrides nothing"))
+    checks += [((F.col(c) != "") & ~F.col(c).rlike("^[0-9A-Fa-f]{6}$"), f"{c} is not six hex digits") for c in PRESENTED[1:]]
+    both = [(F.col(f"a.{c}") != "") & (F.col(f"b.{c}") != "") for c in PRESENTED]
+    return _row_errors(p, checks).unionByName(_pair_errors(rows, both[0] | both[1] | both[2]))
+
+
 def resolve(numbers: DataFrame, rules: DataFrame, column: str = "licence") -> DataFrame:
     """The most specific rule for each number: three equality joins, with ranges as a residual of their length and first digits.
 

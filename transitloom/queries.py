@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from transitloom.functions import country, geo, text
 from transitloom.operators import catalog, match, policy, registry, rules, sequence
+from transitloom.sources import snapshots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -346,3 +347,33 @@ def interval_override(spark: SparkSession, sf_dir: str) -> DataFrame:
 def element_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.from_json("props", "k long")["k"]
     return _table(spark, sf_dir, "events").select("event_id", k.alias("k"), F.when(k % 2 == 0, "stop").otherwise("poi").alias("kind"))
+
+
+# ---- snapshots of services: answers are made from table rows as text and read like stored ones
+
+
+@query("""WITH p AS (SELECT c_custkey, trim(c_name) || ',' || c_mktsegment AS name, 48.5 + (c_custkey % 251) * 0.01::DOUBLE AS la, 12.0 + (c_custkey % 691) * 0.01::DOUBLE AS lo FROM customer)
+SELECT name, round(la, 4) AS latitude, round(lo, 4) AS longitude FROM p UNION ALL SELECT name, round(la + 1, 4), round(lo + 1, 4) FROM p WHERE c_custkey % 3 = 0""")
+def feature_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    lat, lon = F.lit(48.5) + k % 251 * F.lit(0.01), F.lit(12.0) + k % 691 * F.lit(0.01)
+    points = F.when(k % 3 == 0, F.array(F.array(lon, lat), F.array(lon + 1, lat + 1)))
+    answer = F.to_json(F.struct(F.struct(F.concat(F.lit(" "), "c_name").alias("a"), F.col("c_mktsegment").alias("b")).alias("attributes"), F.struct(lon.alias("x"), lat.alias("y"), points.alias("points")).alias("geometry")))
+    read = _table(spark, sf_dir, "customer").select(F.from_json(answer, snapshots.FEATURE).alias("f")).select("f.*")
+    return snapshots.feature_points(read, ["a", "b"]).select("name", F.round("latitude", 4).alias("latitude"), F.round("longitude", 4).alias("longitude"))
+
+
+@query("""SELECT n_name AS name, n_nationkey::DOUBLE AS latitude, 1.0::DOUBLE AS longitude FROM nation UNION ALL SELECT 'Full ' || substr(n_name, 2), n_nationkey::DOUBLE, 1.0::DOUBLE FROM nation WHERE starts_with(n_name, 'I')""")
+def board_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots.board_stops(_table(spark, sf_dir, "nation").select(F.col("n_name").alias("Name"), F.col("n_nationkey").cast("double").alias("Latitude"), F.lit(1.0).alias("Longitude")), "I", "Full ")
+
+
+@query("""WITH k AS (SELECT s_suppkey AS id, s_nationkey AS key, 50.0 + (s_suppkey % 7) * 0.0005::DOUBLE AS lat FROM supplier WHERE s_suppkey % 2 = 0),
+c AS (SELECT s_suppkey AS cand, s_nationkey AS key, 50.0 + (s_suppkey % 11) * 0.0005::DOUBLE AS lat FROM supplier WHERE s_suppkey % 2 = 1)
+SELECT cand, key, (SELECT min(id) FROM k WHERE k.key = c.key AND abs(k.lat - c.lat) * 111320 < 75) AS id FROM c""")
+def registry_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    place = lambda n: (F.lit(50.0) + k % n * F.lit(0.0005)).alias("lat")
+    s = _table(spark, sf_dir, "supplier")
+    known = s.filter(k % 2 == 0).select(k.alias("id"), k.alias("ord"), F.col("s_nationkey").alias("key"), place(7), F.lit(14.0).alias("lon"))
+    return registry.reuse(known, s.filter(k % 2 == 1).select(k.alias("cand"), F.col("s_nationkey").alias("key"), place(11), F.lit(14.0).alias("lon")))
