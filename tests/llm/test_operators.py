@@ -161,6 +161,38 @@ def test_decontamination(spark, docs, empty):
     assert decontam.contamination(empty, items).count() == 0 and decontam.keep_clean(docs, items).count() == len(TEXTS) - 1
 
 
+def brute_windows(texts, items, least):
+    out = {}
+    for d, t in enumerate(texts):
+        w = t.lower().split()
+        for j, item in enumerate(items):
+            v = item.lower().split()
+            k, n = min(5, len(v)), min(len(v), len(w))
+            want = Counter(tuple(v[i : i + k]) for i in range(len(v) - k + 1))
+            for s in range(len(w) - n + 1):
+                own = Counter(tuple(w[i : i + k]) for i in range(s, s + n - k + 1))
+                similarity = (own & want).total() / (own | want).total()
+                if similarity >= least - 1e-12 and similarity > out.get((d, j), (0, 0))[0]:
+                    out[d, j] = (similarity, s, n)
+    return out
+
+
+def test_decontamination_of_texts_about_as_long_as_an_item():
+    r = random.Random(8)
+    items = [" ".join(f"w{r.randrange(400)}" for _ in range(n)) for n in (3, 12, 40, 40, 90)]
+    texts = ["", "w1"]
+    for item in items:
+        w = item.split()
+        for size in (len(w) - 3, len(w) - 1, len(w), len(w) + 1, len(w) + 5, len(w) * 3 // 2, len(w) * 3):
+            pad = [f"p{r.randrange(400)}" for _ in range(max(0, size - len(w)))]
+            cut = r.randrange(len(pad) + 1)
+            texts.append(" ".join([*pad[:cut], *w[: max(0, size)], *pad[cut:]]))
+        texts += [" ".join(w[1:]), " ".join([*w[:5], "other", *w[6:]]), item + " " + item]
+    want = brute_windows(texts, items, 0.8)
+    got = {(d, j): (similarity, s, n) for d, j, s, n, _, similarity in decontam.ItemIndex(items).scan(texts)}
+    assert got == want and len({n for _, _, n in want.values()}) > len({len(i.split()) for i in items})
+
+
 def test_html(spark, empty):
     page = '<html><body><nav><a>menu</a></nav><div class="ad">buy</div><article><h1>Title</h1><p>One &amp; <b>two\n three<br><p>Four</article><div class="comments"><p>me too</div><footer>f</footer></body>'
     rows = [(1, "http://a.example/x", page), (2, "http://a.example/y", page.replace("Title", "Other")), (3, None, None), (4, "http://a.example/z", ""), (5, "u", "<p>bare <script>var a='</p>'</script>text")]

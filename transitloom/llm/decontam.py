@@ -126,23 +126,19 @@ class ItemIndex:
 
     def _windows(self, words: Words, sh: np.ndarray, doc: int, g: Group, pos: np.ndarray, least: float) -> Iterator[tuple]:
         first, last = int(words.first[doc]), int(words.first[doc + 1])
-        m = g.n - g.k + 1  # shingles of a window
-        # A window as similar as asked shares shingles with an item, so it starts within m - 1 before one; and it
-        # holds at least this many of them.
-        need = int(np.ceil(least * m - 1e-9))
-        lo, hi = np.maximum(pos - m + 1, first), np.minimum(pos, last - g.n)
-        if last - first < g.n:
-            return  # shorter than any window of the items' size
-        length = int(hi.max()) - int(lo.min()) + 1
-        base = int(lo.min())
-        if length <= 0:
+        n = min(g.n, last - first)  # a text shorter than the items is one window
+        m = n - g.k + 1  # shingles of a window
+        # A window as similar as asked holds at least this many shingles of an item, whatever its own size.
+        need = max(1, int(np.ceil(least * (g.n - g.k + 1) - 1e-9)))
+        if m < need:
             return
-        change = np.zeros(length + 1, np.int64)
-        ok = hi >= lo
-        seen = np.unique(np.stack([lo[ok], hi[ok]], axis=1), axis=0)
-        np.add.at(change, seen[:, 0] - base, 1)
-        np.add.at(change, seen[:, 1] - base + 1, -1)
-        starts = np.flatnonzero(np.cumsum(change)[:-1] >= max(1, need)) + base
+        # Each position (they are distinct) counts in all windows that hold it: those that start up to m - 1 before it.
+        lo, hi = np.maximum(pos - m + 1, first), np.minimum(pos, last - n)
+        base = int(lo.min())
+        change = np.zeros(int(hi.max()) - base + 2, np.int64)
+        np.add.at(change, lo - base, 1)
+        np.add.at(change, hi - base + 1, -1)
+        starts = np.flatnonzero(np.cumsum(change)[:-1] >= need) + base
         best: dict[int, tuple[float, int, int]] = {}
         for a in range(0, len(starts), 4096):
             some = starts[a : a + 4096]
@@ -160,7 +156,7 @@ class ItemIndex:
                     if g.items[j] not in best or found[:2] > best[g.items[j]][:2]:
                         best[g.items[j]] = found
         for item, (similarity, minus, distance) in sorted(best.items()):
-            yield doc, item, -minus - first, g.n, distance, similarity
+            yield doc, item, -minus - first, n, distance, similarity
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = SIMILAR) -> DataFrame:
@@ -168,7 +164,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     Words are lower-cased (A-Z) and freed of ASCII punctuation; windows have as
     many words as the item and are compared as multisets of five-word shingles
-    (items of fewer words: of all their words). Windows that hold fewer item
+    (items of fewer words: of all their words); a text of fewer words than the
+    item is one window. Windows that hold fewer item
     shingles than the similarity asks for cannot reach it and get no
     fingerprint; all others are fingerprinted, looked up and verified. Ties go to
     the first window. Null and empty texts and items match nothing; null ids are
