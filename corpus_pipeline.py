@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from transitloom.llm import bpe, decontam, quality, secrets, simhash
+from transitloom.llm import bpe, decontam, jaccard, quality, secrets
 from transitloom.llm.common import materialize
 from transitloom.llm.queries import RANKS
 
@@ -15,8 +15,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id."""
-    return simhash.keep_first(docs).select(*docs.columns)
+    """Of each group of documents linked by SimHash or by five-word shingles the one with the smallest id."""
+    return jaccard.keep_first(docs).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -193,6 +193,37 @@ def test_decontamination_of_texts_about_as_long_as_an_item():
     assert got == want and len({n for _, _, n in want.values()}) > len({len(i.split()) for i in items})
 
 
+def test_near_dedup_stage_reaches_similar_texts(spark):
+    import corpus_pipeline
+
+    r = random.Random(5)
+    base = [[f"v{r.randrange(900)}" for _ in range(160)] for _ in range(4)]
+    rows = []
+    for w in base:  # near copies, a chain of them, and texts too unlike
+        rows.append(w)
+        for changed in (1, 2, 3, 4, 5, 9, 20):
+            own = list(w)
+            for at in r.sample(range(150), changed):
+                own[at] = f"x{r.randrange(900)}"
+            rows.append(own)
+        rows += [w[: 160 - cut] + ["z"] * cut for cut in (8, 30, 60)]
+    r.shuffle(rows)
+    texts = [" ".join(w) for w in rows] + ["", "one two", "One  two", "one two three", None]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for t in texts]
+    fp = [brute_fingerprint(t) for t in texts]
+    group = list(range(len(texts)))
+    for _ in texts:
+        for a in range(len(texts)):
+            for b in range(len(texts)):
+                if (fp[a] ^ fp[b]).bit_count() <= 2 or sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                    group[a] = group[b] = min(group[a], group[b])
+    docs = spark.createDataFrame([*enumerate(texts), (None, "one two"), (3, texts[3])], "doc_id long, text string")
+    got = [row["doc_id"] for row in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()]
+    want = [i for i, g in enumerate(group) if i == g] + [None] + [3] * (group[3] == 3)
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert corpus_pipeline.near_dedup_stage(spark, docs.limit(0), "").count() == 0
+
+
 def test_html(spark, empty):
     page = '<html><body><nav><a>menu</a></nav><div class="ad">buy</div><article><h1>Title</h1><p>One &amp; <b>two\n three<br><p>Four</article><div class="comments"><p>me too</div><footer>f</footer></body>'
     rows = [(1, "http://a.example/x", page), (2, "http://a.example/y", page.replace("Title", "Other")), (3, None, None), (4, "http://a.example/z", ""), (5, "u", "<p>bare <script>var a='</p>'</script>text")]
