@@ -13,6 +13,7 @@ import hashlib
 import html as html_lib
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -86,33 +87,39 @@ def parse(page: str) -> list:
     """The page as a tree ``[label, children]``; a text is ``["#", text]``. Missing end tags are put in."""
     root: list = ["", []]
     stack, tags = [root], [""]
+    is_open: Counter = Counter()
+
+    def close(i: int) -> None:
+        is_open.subtract(tags[i:])
+        del stack[i:], tags[i:]
+
     for t in tokens(page):
         if t[0] == "#":
             stack[-1][1].append(["#", t[1]])
             continue
         tag = t[1]
         if t[0] == ">":
-            for i in range(len(tags) - 1, 0, -1):
+            for i in range(len(tags) - 1, 0, -1) if is_open[tag] else ():
                 if tags[i] == tag:
-                    del stack[i:], tags[i:]
+                    close(i)
                     break
                 if tags[i] in SCOPE and tag not in SCOPE:
                     break
             continue
         ends = CLOSES.get(tag, {"p"} if tag in BLOCK else set())
-        for i in range(len(tags) - 1, 0, -1):
+        for i in range(len(tags) - 1, 0, -1) if any(is_open[e] for e in ends) else ():
             if tags[i] in ends:
-                del stack[i:], tags[i:]
+                close(i)
                 break
             if tags[i] in SCOPE:
                 break
-        if ends is not CLOSES.get("p") and tag in BLOCK and tag in CLOSES:
-            pass
         node: list = [label(tag, t[2]), []]
         stack[-1][1].append(node)
-        if tag not in VOID and len(stack) < DEEPEST:
-            stack.append(node)
+        if tag not in VOID:
+            # a deeper element is open too, so that its end tag is its own, but what it holds goes to the last level
+            stack.append(node if len(stack) < DEEPEST else stack[-1])
             tags.append(tag)
+            is_open[tag] += 1
     return root
 
 
