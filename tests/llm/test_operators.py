@@ -232,6 +232,20 @@ def test_html(spark, empty):
     assert out[3]["text"] == "" and out[4]["n_chars"] == 0 and out[5]["text"] == "bare text"
 
 
+def test_html_texts_of_one_page_are_not_the_same_on_all():
+    pages = [f"<body><p>Site name</p><div>{own}</div></body>" for own in ("<p>a</p>", "<p>b</p>", "<p>c</p>", "<blockquote>only here</blockquote>")]
+
+    def texts(pages):
+        wrapper = htmltext.skeleton(htmltext.parse(pages[0]))
+        for page in pages[1:]:
+            wrapper = htmltext.merge(wrapper, htmltext.skeleton(htmltext.parse(page)))
+        rules = htmltext.Rules(wrapper, len(pages))
+        return [htmltext.main_text(page, rules) for page in pages]
+
+    assert texts(pages) == ["a", "b", "c", "only here"]
+    assert texts(pages[:1] * 4) == ["Site name\na"] * 4
+
+
 def test_html_nested_deeper_than_the_stack():
     for depth in (10, 118, 150, 400):
         page = "<div><div><article><p>first</p>" + "<div>" * depth + "deep" + "</div>" * depth + "<p>after</p></article></div></div><p>outside</p>"

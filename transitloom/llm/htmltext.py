@@ -249,20 +249,20 @@ class Rules:
     def __init__(self, wrapper: list, pages: int) -> None:
         self.main: set[tuple] = set()
         self.same: set[tuple] = set()
-        self._walk(wrapper, (), pages)
+        self._walk(wrapper, (), pages > 2)
 
-    def _walk(self, node: list, path: tuple, pages: int) -> None:
-        for child, _, repeated in node[1]:
-            name = child[0]
+    def _walk(self, node: list, path: tuple, everywhere: bool) -> None:
+        for child, optional, repeated in node[1]:
+            name, on_all = child[0], everywhere and not optional
             if name == "#":
-                if child[1] is not None and pages > 2 and not repeated:
+                if child[1] is not None and on_all and not repeated:
                     self.same.add((path, child[1]))
             elif name.startswith("()"):
-                self._walk(child, path, pages)
+                self._walk(child, path, on_all)
             elif not _is_drop(name):
                 if _is_main(name):
                     self.main.add((*path, name))
-                self._walk(child, (*path, name), pages)
+                self._walk(child, (*path, name), on_all)
 
 
 def main_text(page: str | None, rules: Rules | None) -> str:
@@ -270,12 +270,12 @@ def main_text(page: str | None, rules: Rules | None) -> str:
 
     Where the wrapper has an article region and the page fills it, its text
     counts; else all that is neither a part to leave out nor a text that is
-    the same on every page of the host.
+    the same on every page of the host; and such texts too if nothing else is left.
     """
     if not page:
         return ""
     tree = parse(page)
-    for inside in (True, False):
+    for inside, same in ((True, set()), (False, rules.same if rules else set()), (False, set())):
         blocks: list[str] = []
         line: list[str] = []
 
@@ -285,11 +285,11 @@ def main_text(page: str | None, rules: Rules | None) -> str:
             if text:
                 blocks.append(text)
 
-        def walk(node: list, path: tuple, active: bool, line=line, inside=inside, flush=flush) -> None:
+        def walk(node: list, path: tuple, active: bool, line=line, inside=inside, same=same, flush=flush) -> None:
             for child in node[1]:
                 name = child[0]
                 if name == "#":
-                    if active and not (not inside and rules and (path, hashlib.md5(_SPACE.join(child[1].split()).encode()).hexdigest()[:12]) in rules.same):
+                    if active and not (same and (path, hashlib.md5(_SPACE.join(child[1].split()).encode()).hexdigest()[:12]) in same):
                         line.append(child[1])
                     continue
                 tag = name.split(".", 1)[0]
@@ -309,7 +309,7 @@ def main_text(page: str | None, rules: Rules | None) -> str:
 
         walk(tree, (), not inside)
         flush()
-        if blocks or not inside:
+        if blocks or not inside and not same:
             return "\n".join(blocks)
     return ""
 
