@@ -14,11 +14,19 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-#: What may be a secret: the value after a telling name, a token of 16 characters or more with a digit, a key header.
-#: Every repetition has a bound or is possessive, so that no text makes the search slow.
+#: How known kinds of keys begin.
+PREFIX = "AKIA|ASIA|AIza|gh[pousr]_|github_pat_|sk_live_|sk-|xox[abpr]-|eyJ|glpat-"
+# Between a telling name and its value: quotes and a few blanks around one sign.
+_SIGN = r"[\"']?[ \t]{0,3}[=:][ \t]{0,3}"
+_KEY = r"token|(?:api|access|secret|private)[_-]?key"
+#: What may be a secret: the value after a telling name, a token of 16 characters or more with a digit or a known
+#: beginning, a key header. Every repetition has a bound or is possessive, so that no text makes the search slow.
 PATTERN = (
-    r"(?<=[=:])(?i:(?<=password.|passwd.|secret.|pwd.))[^\s\"'<>|,;]{8,200}+"
-    r"|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]{0,64}+[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}"
+    r"(?<=[=: \t\"'])(?<=[=:][ \t]{0,3}[\"']?)(?i:"
+    rf"(?<=(?:password|passwd|secret|pwd){_SIGN}[\"']?)[^\s\"'<>|,;]{{8,}}+"
+    rf"|(?<=(?:{_KEY}){_SIGN}[\"'])[^\s\"'<>|,;]{{8,}}+"
+    rf"|(?<=(?:{_KEY}){_SIGN})[a-z0-9_+/-]{{8,}}+={{0,2}})"
+    rf"|(?<![A-Za-z0-9_+/-])(?=(?:{PREFIX})|[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{{16,}}+={{0,2}}"
     r"|-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
 )
 #: Characters of context that features see on either side.
@@ -57,7 +65,7 @@ def features(secret: Column, left: Column, right: Column, path: Column) -> list[
         1 - F.length(F.regexp_replace(low, "[bcdfghjklmnpqrstvwxyz][aeiou]", "")) / size,
         1 - F.length(F.regexp_replace(low, "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))), "")) / size,
         F.size(F.array_distinct(F.split(F.substring(secret, 1, 64), ""))).cast("double") / F.least(size, F.lit(64.0)),
-        flag(secret.rlike("^(AKIA|ASIA|AIza|gh[pousr]_|github_pat_|sk_live_|sk-|xox[abpr]-|eyJ|glpat-|-----BEGIN)")),
+        flag(secret.rlike(f"^({PREFIX}|-----BEGIN)")),
         flag(left.rlike(f"(?i)({TELLING})[^a-z0-9]{{0,6}}$")),
         flag(F.concat(left, secret, right).rlike(f"(?i){EXAMPLE}")),
         flag(left.rlike(f"(?i)({INNOCENT})[^\\s]{{0,3}}\\s?$")),
@@ -94,6 +102,10 @@ def labelled_findings(spark: SparkSession, n: int = 2_000) -> DataFrame:
         (F.lit("-----BEGIN RSA PRIVATE KEY-----"), none, F.lit("\nMII"), 1),
         (F.concat(F.substring(mixed, 1, 12), F.lit("!9")), F.concat(prose, F.lit("password=")), F.lit(" "), 1),
         (F.concat(F.lit("xoxb-"), F.substring(digits, 1, 12), F.lit("-"), F.translate(F.substring(mixed, 1, 24), "+/", "xy")), F.concat(prose, name("slack ", "token=", "", "bot ")), F.lit(" "), 1),
+        (F.concat(F.substring(mixed, 1, 8), name("", "!x", "#", "")), F.concat(prose, name('password = "', "password: ", '"password": "', "token: ")), name('" ', " ", '"', " "), 1),
+        (F.translate(F.concat(F.lit("AKIA"), F.upper(F.substring(mixed, 5, 16))), "+/0123456789", "ABCDEFGHIJKL"), F.concat(prose, name("", "key = ", "id ", "")), F.lit(" "), 1),
+        (F.substring(word, 1, 9), F.concat(prose, name("password: ", "secret: ", "token: ", "password = ")), F.lit(" "), 0),
+        (F.concat(F.substring(word, 1, 5), name("_", "-", "/", "_"), F.substring(word, 6, 8)), F.concat(prose, name("token=", "password: ", 'token: "', "api_key: ")), F.lit(" "), 0),
         (F.substring(h(1), 1, 40), F.concat(prose, name("commit ", "revision ", "sha1:", "commit ")), F.lit(" "), 0),
         (F.substring(h(1), 1, 64), F.concat(prose, name("sha256:", "checksum ", "digest=", "sha256 ")), F.lit(" "), 0),
         (F.substring(digits, 1, 16), prose, F.lit(" "), 0),
@@ -178,7 +190,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), (F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")).alias("path"))
     # a search first: most texts have no candidate, and only those that do are numbered and split
-    some = rows.filter(F.col("text").rlike("[0-9]|[=:]|-----BEGIN") & F.col("text").rlike(PATTERN)).withColumn("row", F.monotonically_increasing_id())
+    some = rows.filter(F.col("text").rlike(f"[0-9]|[=:]|{PREFIX}|-----BEGIN") & F.col("text").rlike(PATTERN)).withColumn("row", F.monotonically_increasing_id())
     cut = some.select("id", "row", "path", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("found"), F.split("text", PATTERN, -1).alias("pieces"))
     one = F.posexplode(F.transform("found", lambda s, i: F.struct(s.alias("secret"), F.right(F.element_at("pieces", i + 1), F.lit(CONTEXT)).alias("left"), F.left(F.element_at("pieces", i + 2), F.lit(CONTEXT)).alias("right"), F.length(F.element_at("pieces", i + 1)).alias("before"))))
     out = cut.select("id", "row", "path", one.alias("at", "c"))
