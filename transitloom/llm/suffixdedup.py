@@ -9,7 +9,9 @@ contexts share an anchor. So contexts are dealt by anchor; those whose anchor
 occurs once are done. Equal contexts meet in one row, by count, before any bytes
 move. What differs goes, by anchor, into texts of bounded size, on whose
 Burrows-Wheeler transforms common prefixes are derived by increasing value; those
-that reach ``least`` are the repeated windows. Anchors with very many different
+that reach ``least`` are the repeated windows. A symbol of a transform stands for a
+fixed share of ``least`` bytes (50 of 400) and one begins at every byte, so the
+prefixes grow by that many bytes a level and the answer stays exact to the byte. Anchors with very many different
 contexts are dealt once more, by window, so no group grows with the data.
 """
 
@@ -28,7 +30,11 @@ from .textstats import _BASE, _INVERSE, _powers, mix
 
 LEAST, GRAM = 400, 48
 #: Bytes scanned at once; longer texts go in slices. Bytes of a transform; contexts of an anchor that one may hold.
-SLICE, SHARD_BYTES, HOT = 4 << 20, 1 << 20, 1024
+SLICE, SHARD_BYTES, HOT = 4 << 20, 1 << 19, 1024
+#: Bytes that a symbol of a transform stands for, at most.
+SYMBOL = 64
+_BASE2 = 0xD6E8FEB86659FD93
+_INVERSE2 = pow(_BASE2, -1, 1 << 64)
 
 
 def contexts(data: np.ndarray, ends: np.ndarray, least: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,73 +81,110 @@ def _slices(raws: list[bytes], least: int) -> Iterator[tuple[list[tuple[int, int
         yield list(zip(own, map(len, parts), strict=True)), b"".join(parts)
 
 
-def transform(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order up to ``depth`` symbols by prefix doubling, and the Burrows-Wheeler transform."""
-    n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    order, span = np.argsort(rank), 1
-    while span < depth:
-        key = rank * (n + 1)
-        key[: n - span] += rank[span:] + 1
-        order = np.argsort(key)
-        step = np.concatenate([[0], (np.diff(key[order]) != 0).astype(np.int64)])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(step)
-        span *= 2
-        if rank[order[-1]] == n - 1:
-            break
-    return order, text[order - 1]
+def stride(least: int) -> int:
+    """Bytes of a symbol: the largest divisor of ``least`` up to ``SYMBOL`` that leaves two symbols at least."""
+    return max(s for s in range(1, min(SYMBOL, least // 2) + 1) if least % s == 0)
+
+
+def in_order(key: np.ndarray, bits: int) -> np.ndarray:
+    """Places by increasing key, the first place first among equals; keys of up to ``bits`` bits sort with their place below them."""
+    low = max(1, len(key) - 1).bit_length()
+    if bits + low > 63:
+        return np.argsort(key, kind="stable")
+    packed = (key.astype(np.int64) << np.int64(low)) | np.arange(len(key))
+    packed.sort()
+    return packed & np.int64((1 << low) - 1)
 
 
-def long_prefixes(bwt: np.ndarray, least: int) -> np.ndarray:
-    """For each rank: do its suffix and the one before share ``least`` symbols?
+def changes(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before it; not at the first."""
+    return np.concatenate([[False], values[1:] != values[:-1]])
 
-    Common prefixes by increasing value: 0 between different first symbols;
-    then, level by level, extending all intervals found so far backwards. Two
-    neighbouring suffixes with one first symbol share one symbol more than the
+
+def symbols(data: np.ndarray, inside: np.ndarray, step: int) -> np.ndarray:
+    """The name of the ``step`` bytes from each place on; 0 where they run past a text's end (``inside`` is false there).
+
+    Equal names stand for equal pairs of 64-bit hashes.
+    """
+    n = len(data)
+    names = np.zeros(n, np.int64)
+    if n < step:
+        return names
+    hashes = []
+    for base, inverse in ((_BASE, _INVERSE), (_BASE2, _INVERSE2)):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(n, base), dtype=np.uint64)])
+        hashes.append(mix((total[step:] - total[:-step]) * _powers(n - step + 1, inverse)))
+    outside = np.concatenate([[0], np.cumsum(~inside)])
+    whole = np.flatnonzero(outside[step:] == outside[:-step])
+    first, second = hashes[0][whole], hashes[1][whole]
+    bits = 63 - max(1, len(whole) - 1).bit_length()
+    order = in_order(first >> np.uint64(64 - bits), bits)
+    new = changes(first[order] >> np.uint64(64 - bits))
+    if (changes(second[order]) & ~new).any():  # two strings share the leading bits
+        order = np.lexsort((second, first))
+        new = changes(first[order])
+    names[whole[order]] = 1 + np.cumsum(new | changes(second[order]))
+    return names
+
+
+def transform(names: np.ndarray, step: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places ordered by the ``depth`` symbols from each on, ``step`` apart, and the Burrows-Wheeler transform: the symbol before each."""
+    n, rank, have = len(names), names, 1
+    bits = n.bit_length()
+    order = in_order(rank, bits)
+    while have < depth:
+        take = min(have, depth - have)
+        key = (rank << np.int64(bits)) | np.roll(rank, -take * step)
+        order = in_order(key, 2 * bits)
+        have += take
+        if have < depth:
+            rank = np.empty(n, np.int64)
+            rank[order] = np.cumsum(changes(key[order]))
+    return order, names[order - step]
+
+
+def long_prefixes(bwt: np.ndarray, depth: int) -> np.ndarray:
+    """For each rank: does its place share ``depth`` symbols with the one before it in order?
+
+    Common prefixes by increasing value: none between different first symbols;
+    then, level by level, all intervals found so far are extended backwards by a
+    symbol. Two neighbours with one first symbol share one symbol more than the
     least shared between their remainders, which the transform holds in the same
-    order: they are settled at the first level at which a bound has been set
-    between these. Expansion stops below ``least``; what is not settled reaches it.
+    order: they are parted at the first level at which a bound lies between
+    these. Only pairs not parted yet are looked at again; expansion stops at
+    ``depth``, and what is not parted then reaches it.
     """
     n = len(bwt)
-    order = np.argsort(bwt, kind="stable").astype(np.int32)  # remainder's rank for each rank
-    first = np.ones(n, bool)
-    first[1:] = bwt[order[1:]] != bwt[order[:-1]]
-    bound = first.copy()
-    open_ = np.flatnonzero(~first).astype(np.int32)
-    low, high = order[open_ - 1], order[open_]
-    stale = 0  # settled ranks still listed: the lists are packed only when these are many
-    counts = np.empty(n, np.int32)
-    for _ in range(1, least):
-        np.cumsum(bound, out=counts)
-        late = open_[np.take(counts, high) != np.take(counts, low)]
-        late = late[~bound[late]]
-        if not len(late):
+    order = in_order(bwt, n.bit_length()).astype(np.int32)  # remainder's rank for each rank
+    shared = ~changes(bwt[order])
+    shared[:1] = False
+    live = np.flatnonzero(shared).astype(np.int32)
+    low, high = order[live - 1], order[live]
+    for _ in range(1, depth):
+        bounds = np.cumsum(~shared, dtype=np.int32)
+        stays = bounds[high] == bounds[low]
+        if stays.all():
             break
-        bound[late] = True
-        stale += len(late)
-        if stale * 8 > len(open_):
-            keep = ~bound[open_]
-            open_, low, high, stale = open_[keep], low[keep], high[keep], 0
-    return ~bound
+        shared[live[~stays]] = False
+        live, low, high = live[stays], low[stays], high[stays]
+    return shared
 
 
 def repeated_windows(parts: list[bytes], least: int) -> list[np.ndarray]:
     """For each text the starts of its windows that also start elsewhere in the texts."""
+    step = stride(least)
     sizes = np.array([len(p) + 1 for p in parts])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    text = np.zeros(int(sizes.sum()), np.int64)
-    inside = np.ones(len(text), bool)
-    inside[starts + sizes - 1] = False
-    text[inside] = np.frombuffer(b"".join(parts), np.uint8)
-    text[~inside] = 256 + np.arange(len(parts))  # an end of its own after each text
-    order, bwt = transform(text, least)
-    shared = long_prefixes(bwt, least)
+    data = np.frombuffer(b"".join(p + b"\0" for p in parts), np.uint8)
+    inside = np.ones(len(data), bool)
+    inside[starts + sizes - 1] = False  # no window holds an end, so one symbol serves for all
+    order, bwt = transform(symbols(data, inside, step), step, least // step)
+    shared = long_prefixes(bwt, least // step)
     both = shared.copy()
     both[:-1] |= shared[1:]
-    mark = np.zeros(len(text), bool)
+    mark = np.zeros(len(data), bool)
     mark[order[both]] = True
-    return [np.flatnonzero(mark[s : s + n - least]) for s, n in zip(starts, sizes, strict=True)]
+    return [np.flatnonzero(mark[s : s + max(0, n - least)]) for s, n in zip(starts, sizes, strict=True)]
 
 
 def _runs(at: np.ndarray) -> list[tuple[int, int]]:
