@@ -276,3 +276,23 @@ def test_secrets_after_names_long_or_without_digits(spark):
     assert clean[0] == "the password=[SECRET] end"
     prose = spark.createDataFrame([(0, "the secret: ingredients of the soup", None)], "doc_id long, text string, source string")
     assert not any(r["is_secret"] for r in secrets.scan(prose).collect())
+
+
+def test_bpe_of_long_blank_runs():
+    import public_tokenizers as tokenizers
+
+    enc = bpe.encoder(tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
+    n = bpe.LONG_BLANK
+    for text in (" " * (n + 5) + "a b", "a" + "\t" * n, "x\n" + " \n" * n + "é1", " " * n + "　" + "'s", "a " * n, "a" + " " * (n - 1) + "\x1cb"):
+        assert list(bpe.encode(enc, text)) == enc.encode_ordinary(text)
+    long = " " * 2_000_000 + "end"
+    ids = bpe.encode(enc, long)
+    assert bpe.decode(enc, ids) == long.encode() and list(ids)[-1:] == enc.encode_ordinary(" end")[-1:]
+
+
+def test_quality_features_of_a_text_do_not_depend_on_its_neighbours():
+    texts = ["one two. three", " begins with blanks", "\nline one\nline two.", "", "x" * 300, "last longestwordofall", " ", "ends\n", "\n\n", *[t or "" for t in TEXTS]]
+    together = quality.features(texts)
+    for i, t in enumerate(texts):
+        assert np.array_equal(together[i], quality.features([t])[0]), t[:40]
+    assert quality.features(["a bcd"])[0, 18] == pytest.approx(np.log1p(3))

@@ -20,6 +20,11 @@ from .common import text_of
 _SAFE = re.compile(r"[0-9A-Za-z.,;:!?)](?=[ \n])")
 #: Texts above so many characters are encoded piece by piece.
 PIECE = 1 << 16
+#: Runs of so many white-space characters (the Unicode property, as fixed values) do not go through the pattern's search, whose stack they would fill.
+LONG_BLANK = 1 << 15
+_BLANKS = re.compile(rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG_BLANK},}}")
+#: What a pattern ends with that takes a run of white space whole at a text's end, else all but the last character.
+_RUN_RULE = r"|\s+(?!\S)|\s+"
 _ENCODERS: dict[tuple[str, str], object] = {}
 
 
@@ -46,11 +51,27 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     yield text[start:]
 
 
+def blank_runs(pattern: str, text: str) -> Iterator[tuple[str, bool]]:
+    """The text in parts ``(part, is one match)``: long runs of white space are one match each, by the pattern's own rule."""
+    at = 0
+    if pattern.endswith(_RUN_RULE) and "[\\r\\n]" not in pattern:
+        for run in _BLANKS.finditer(text) if len(text) >= LONG_BLANK else ():
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            yield text[at : run.start()], False
+            yield text[run.start() : end], True
+            at = end
+    yield text[at:], False
+
+
 def encode(enc, text: str) -> array:
     """Token ids of the whole text as an array of unsigned 32-bit integers."""
     ids = array("I")
-    for piece in pieces(text):
-        ids.extend(enc.encode_ordinary(piece))
+    for part, whole in blank_runs(enc._pat_str, text):
+        if whole:
+            ids.extend(enc._encode_single_piece(part))
+            continue
+        for piece in pieces(part):
+            ids.extend(enc.encode_ordinary(piece))
     return ids
 
 

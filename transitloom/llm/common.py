@@ -51,6 +51,11 @@ def discard(*tables: DataFrame) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def without(docs: DataFrame, gone: DataFrame, id_col: str, rows: int = 2_000_000) -> DataFrame:
+    """The rows of ``docs`` whose id is not in the written table ``gone``, which is sent to all tasks if it has at most ``rows``."""
+    return docs.join(F.broadcast(gone) if gone.count() <= rows else gone, id_col, "left_anti")
+
+
 def fold(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -172,16 +173,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     carried; repeated rows give equal rows. No shuffle: items travel in slabs of
     a bounded size, so a larger benchmark means more passes, not more memory.
     """
-    spark = docs.sparkSession
     id_type, item_type = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
-    rows = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).filter("text is not null")
-    total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    n_slabs = max(1, -(-int(total) // SLAB_CHARS))
     out = None
-    for slab in range(n_slabs):
-        part = rows if n_slabs == 1 else rows.filter(F.pmod(F.xxhash64("item"), F.lit(n_slabs)) == slab)
-        own = sorted(((r["item"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r))
-        shared = spark.sparkContext.broadcast(([r[0] for r in own], ItemIndex([r[1] for r in own])))
+    for shared in _slabs(items, item_col, item_text_col):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             names, index = shared.value
@@ -202,7 +196,34 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     return out
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without a benchmark passage, with the columns they came with; rows with a null id stay."""
-    hit = contamination(docs, items, id_col, text_col).filter(F.col(id_col).isNotNull()).select(id_col).distinct()
-    return docs.join(hit, id_col, "left_anti").select(*docs.columns)
+def _slabs(items: DataFrame, item_col: str, item_text_col: str) -> Iterator[Broadcast]:
+    """The items' ids and index, sent to all tasks in slabs of at most about ``SLAB_CHARS`` characters; one slab at least."""
+    rows = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).filter("text is not null")
+    total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    n_slabs = max(1, -(-int(total) // SLAB_CHARS))
+    for slab in range(n_slabs):
+        part = rows if n_slabs == 1 else rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n_slabs)) == slab)
+        own = sorted(((r["item"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r))
+        yield items.sparkSession.sparkContext.broadcast(([r[0] for r in own], ItemIndex([r[1] for r in own])))
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = SIMILAR) -> DataFrame:
+    """The rows of ``docs`` without a benchmark passage (see ``contamination``), with the columns they came with.
+
+    Each row is judged by its own text, so nothing is shuffled: rows with null
+    or empty texts stay, repeated rows share a fate, and ids play no part.
+    """
+    at = docs.columns.index(text_col)
+    for shared in _slabs(items, item_col, item_text_col):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value[1]
+            for batch in batches:
+                texts = [t or "" for t in batch.column(at).to_pylist()]
+                clean = np.ones(len(texts), bool)
+                for a, b in text_batches(texts, 1 << 21):
+                    clean[[a + found[0] for found in index.scan(texts[a:b], least)]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

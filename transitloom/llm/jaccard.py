@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import connected_components, discard, materialize, text_of
+from .common import connected_components, discard, materialize, text_of, without
 from .textstats import Words, mix, text_batches
 
 #: Words of a shingle, and the similarity from which two texts link.
@@ -76,30 +76,51 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 def similar_links(docs: DataFrame, prints: DataFrame, id_col: str, text_col: str, words: int, least: float) -> DataFrame:
     """Links ``(u, v)`` between nodes of ``prints`` that join the same components as all candidate pairs as similar as asked.
 
-    Each node of a band's bucket is first verified against the bucket's smallest
-    one; after that all pairs of a bucket that are not joined yet are verified,
-    so a group of copies of each other costs a row a member, and no pair is passed over.
+    Each node of a band's bucket is first verified against the bucket's node with
+    the most copies, so a group about one text costs a row a member. What shares a bucket
+    with another component then is compared by ``_across``, whatever the bucket; no
+    candidate pair is passed over.
     """
-    reps = materialize(prints.groupBy("node").agg(F.min(id_col).alias(id_col)), "jaccard-nodes")
-    each = prints.join(reps, [id_col, "node"]).select("node", "n", F.explode("own").alias("key"))
+    reps = materialize(prints.groupBy("node").agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("copies")), "jaccard-nodes")
+    each = prints.join(reps, [id_col, "node"]).select("node", "n", "copies", F.explode("own").alias("key"))
     bucket = Window.partitionBy("key")
-    low, high = F.min(F.struct("node", "n")).over(bucket), F.max("node").over(bucket)
-    buckets = materialize(each.withColumn("low", low).withColumn("high", high).filter("low.node <> high").select("key", "node", "n", F.col("low.node").alias("low"), F.col("low.n").alias("low_n")), "jaccard-buckets")
+    lead, some = F.max(F.struct("copies", "node", "n")).over(bucket), F.min("node").over(bucket)
+    buckets = materialize(each.withColumn("lead", lead).withColumn("some", some).filter("lead.node <> some or node <> some").select("key", "node", "n", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")), "jaccard-buckets")
     wanted = reps.join(buckets.select("node").distinct(), "node").select(id_col).distinct()
-    sets = materialize(_sets(docs.join(wanted, id_col), id_col, text_col, words, False).select("node", "own"), "jaccard-sets")
-    sized = lambda a, b: F.least(a, b) >= least * F.greatest(a, b) - 1e-9
-    stars = buckets.filter("node <> low").filter(sized(F.col("n"), F.col("low_n"))).select(F.col("low").alias("u"), F.col("node").alias("v")).distinct()
+    sets = materialize(_sets(docs.join(wanted, id_col), id_col, text_col, words, False).select("node", "n", "own").dropDuplicates(["node"]), "jaccard-sets")
+    stars = buckets.filter("node <> lead").filter(F.least("n", "lead_n") >= least * F.greatest("n", "lead_n") - 1e-9).select(F.col("lead").alias("u"), F.col("node").alias("v")).distinct()
     links = materialize(_verified(stars, sets, least), "jaccard-stars")
     joined = connected_components(links).withColumnRenamed("component", "c")
-    named = buckets.join(joined, "node", "left").select("key", "node", "n", "low", F.coalesce("c", "node").alias("c"))
-    parted = materialize(named.withColumn("first", F.min("c").over(bucket)).withColumn("last", F.max("c").over(bucket)).filter("first <> last").select("key", "node", "n", "low", "c"), "jaccard-open")
-    a, b = parted.filter("node <> low").alias("a"), parted.alias("b")
-    rest = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.c") != F.col("b.c")) & (F.col("a.node") < F.col("b.node")) & sized(F.col("a.n"), F.col("b.n"))).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+    named = buckets.join(joined, "node", "left").select("key", "node", F.coalesce("c", "node").alias("c"))
+    parted = named.withColumn("first", F.min("c").over(bucket)).withColumn("last", F.max("c").over(bucket)).filter("first <> last")
+    unjoined = materialize(parted.select("node", "c").distinct(), "jaccard-open")
+    rest = materialize(_across(sets.join(unjoined, "node"), least), "jaccard-rest")
     out = materialize(links.unionByName(_verified(rest, sets, least)), "jaccard-links")
-    discard(reps, buckets, sets, links, parted)
+    discard(reps, buckets, sets, links, unjoined, rest)
     return out
 
 
+def _across(sets: DataFrame, least: float) -> DataFrame:
+    """Pairs ``(u, v)`` of ``sets(node, n, own, c)`` with different ``c`` among which are all that are as similar as asked.
+
+    Of two such sets of n and m elements each holds one of the other's rarest
+    ``n - ceil(least * n) + 1``, whatever the order by which they are rare. Elements
+    that no other set has come first in it and join nothing, so copies that were changed
+    too much for any link drop out before sets are paired. Of the sets that share
+    an element those of its first component meet the others only.
+    """
+    each = sets.select("node", "n", "c", F.explode("own").alias("s"))
+    often = each.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("c").alias("first"), F.max("c").alias("last")).filter("df > 1")
+    node = Window.partitionBy("node")
+    ranked = each.join(often, "s").withColumn("rank", F.row_number().over(node.orderBy("df", "s"))).withColumn("m", F.count(F.lit(1)).over(node))
+    prefix = F.col("n") - F.ceil(least * F.col("n") - 1e-9) + 1
+    kept = materialize(ranked.filter(F.col("rank") <= prefix - (F.col("n") - F.col("m"))).filter("first <> last").select("s", "node", "n", "c"), "jaccard-prefixes")
+    one = kept.withColumn("first", F.min("c").over(Window.partitionBy("s")))
+    a, b = one.filter("c <> first").alias("a"), one.alias("b")
+    sized = F.least("a.n", "b.n") >= least * F.greatest("a.n", "b.n") - 1e-9
+    return a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.c") != F.col("b.c")) & ((F.col("b.c") == F.col("b.first")) | (F.col("a.node") < F.col("b.node"))) & sized).select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: float = SIMILAR) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component; rows with a null id stay.
 
@@ -117,4 +138,4 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = connected_components(same.unionByName(alike).filter("u <> v").distinct())
     gone = materialize(near.join(found.select(F.col("node").alias("c"), "component"), "c", "left").filter(F.col(id_col) != F.coalesce("component", "c")).select(id_col).distinct(), "jaccard-gone")
     discard(near, prints, links, members, names)
-    return docs.join(gone, id_col, "left_anti")
+    return without(docs, gone, id_col)

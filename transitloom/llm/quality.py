@@ -58,10 +58,12 @@ def features(texts: list[str]) -> np.ndarray:
     out[:, 2] = (size - counts[:, 3] - counts[:, 4]) / some
     out[:, 3:13] = counts[:, 1:11] / safe[:, None]
     space = (data == 32) | (data == 10)
+    head = np.concatenate([[True], doc[1:] != doc[:-1]])  # the first byte of a text
     # the byte before white space or a text's end, if neither letter nor digit, ends a word in a mark
     letter = np.zeros(256, bool)
     letter[48:58] = letter[65:91] = letter[97:123] = letter[128:] = True
-    stops = np.concatenate([np.cumsum(size)[size > 0] - 1, np.flatnonzero(space[1:] & ~space[:-1])])
+    last = np.cumsum(size)[size > 0] - 1
+    stops = np.concatenate([last, np.flatnonzero(space[1:] & ~space[:-1] & ~head[1:])])
     out[:, 13] = np.bincount(doc[stops], weights=~letter[data[stops]], minlength=n) / some
     owner = words.doc.astype(np.uint64) << np.uint64(44)
     cut = np.uint64((1 << 44) - 1)
@@ -71,15 +73,16 @@ def features(texts: list[str]) -> np.ndarray:
     if len(pairs):
         whole = words.doc[1:] == words.doc[:-1]
         kinds2 = np.unique(owner[:-1][whole] | (pairs[whole] & cut))
-        out[:, 15] = 1 - np.bincount((kinds2 >> np.uint64(44)).astype(np.int64), minlength=n) / np.maximum(n_words - 1, 1)
+        out[:, 15] = np.where(n_words > 1, 1 - np.bincount((kinds2 >> np.uint64(44)).astype(np.int64), minlength=n) / np.maximum(n_words - 1, 1), 0)
     lines = counts[:, 4] + 1
     out[:, 16] = np.log1p(n_words / lines)
-    ends = np.concatenate([np.cumsum(size)[size > 0] - 1, np.flatnonzero(data == 10) - 1])
-    ends = ends[ends >= 0]
+    ends = np.concatenate([last, np.flatnonzero((data == 10) & ~head) - 1])
     out[:, 17] = np.bincount(doc[ends], weights=np.isin(data[ends], [46, 63, 34]), minlength=n) / lines
-    out[:, 18] = 0
-    gaps = np.diff(np.concatenate([[-1], np.flatnonzero(space)]))
-    np.maximum.at(out[:, 18], doc[np.flatnonzero(space)], np.log1p(np.minimum(gaps, 1 << 16)))
+    # runs without a blank, from where one begins to where it ends, each within its text
+    before, after = np.concatenate([[True], space[:-1]]) | head, np.concatenate([space[1:], [True]])
+    after[last] = True
+    start, stop = np.flatnonzero(~space & before), np.flatnonzero(~space & after)
+    np.maximum.at(out[:, 18], doc[start], np.log1p(stop - start + 1))
     out[size == 0] = 0
     return out
 
@@ -207,7 +210,11 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that the classifier does not reject, with the columns they came with."""
+    """The rows that the classifier does not reject, with the columns they came with.
+
+    Null and empty texts are judged by their zero statistics; repeated rows share
+    a fate; rows with a null id stay or go by their text; an empty table stays empty.
+    """
     names = docs.columns
     scored = score(docs, fit(docs, labels, id_col, text_col), id_col, text_col, keep=tuple(c for c in names if c != id_col))
     back = {c: f"keep_{i}" for i, c in enumerate(c for c in names if c != id_col)}

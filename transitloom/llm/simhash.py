@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, discard, materialize, text_of
+from .common import connected_components, discard, materialize, text_of, without
 
 #: Words of a shingle, and differing bits up to which fingerprints link.
 WORDS, RADIUS = 3, 2
@@ -99,5 +99,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component; rows with a null id stay."""
     groups = near_duplicates(docs, id_col, text_col, words, radius)
-    gone = groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    gone = materialize(groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "simhash-gone")
+    return without(docs, gone, id_col)
