@@ -296,3 +296,42 @@ def test_quality_features_of_a_text_do_not_depend_on_its_neighbours():
     for i, t in enumerate(texts):
         assert np.array_equal(together[i], quality.features([t])[0]), t[:40]
     assert quality.features(["a bcd"])[0, 18] == pytest.approx(np.log1p(3))
+
+
+def _pages(names, bodies, spark):
+    rows = [(i, "http://plain.example/p", b) for i, b in enumerate(bodies)]
+    return {r["page_id"]: r["text"] for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(names)).collect()}
+
+
+def test_html_article_is_found_by_what_varies_on_the_host(spark):
+    def page(title, *paragraphs, side="Older texts"):
+        return f'<body><div class="alpha"><a>Home</a><a>{title}</a></div><div class="beta"><div class="gamma">Since 1990</div><div class="delta"><h2>{title}</h2>{"".join(f"<p>{p}</p>" for p in paragraphs)}<div class="eps"><a>read {title} next time</a></div></div></div><div class="zeta">{side}</div></body>'
+
+    bodies = [page(f"Title {w}", f"First paragraph {w} with some words.", "Shared line", f"Second {w} paragraph, rather long as well.") for w in "abcde"]
+    got = _pages(3, bodies, spark)
+    assert got[0] == "Title a\nFirst paragraph a with some words.\nSecond a paragraph, rather long as well."
+    # on other pages the line is another: now it belongs to this page's article too
+    other = [bodies[0], *[b.replace("Shared line", f"Line of {i}") for i, b in enumerate(bodies[1:])]]
+    assert _pages(1, other, spark)[0] == "Title a\nFirst paragraph a with some words.\nShared line\nSecond a paragraph, rather long as well."
+    # how rows are dealt changes nothing, with more pages than a task aligns at once
+    bodies = [page(f"T{i}", f"Words of {i}.", *(["Extra"] if i % 7 == 0 else [])) for i in range(40)]
+    old = htmltext.GROUP, htmltext.WIDTH
+    htmltext.GROUP, htmltext.WIDTH = 4, 3
+    try:
+        assert _pages(1, bodies, spark) == _pages(7, bodies, spark)
+    finally:
+        htmltext.GROUP, htmltext.WIDTH = old
+
+
+def test_html_roles_and_long_pages(spark):
+    page = '<body><article><p>own</p><div class="article content sidebar">side</div><div class="share-of-market">kept</div><div class="site-footer-links">foot</div></article></body>'
+    assert htmltext.main_text(page, htmltext.Rules(htmltext.skeleton(htmltext.parse(page)), 1)) == "own\nkept"
+    r = random.Random(2)
+    many = ["".join(f"<{t}>{t}{r.randrange(9)}</{t}>" for t in r.choices(["p", "h3", "pre", "blockquote"], k=900)) for _ in range(3)]
+    out = _pages(2, [f"<article>{m}</article>" for m in many] * 2 + [None], spark)
+    assert out[0] == out[3] and out[0].count("\n") == 899 and out[6] == ""
+    for _ in range(30):
+        a, b = (r.choices("abc", k=r.randrange(150)) for _ in range(2))
+        pairs = htmltext.common(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and pairs == sorted(pairs) and len({j for _, j in pairs}) == len(pairs)
+        assert len(pairs) == len(htmltext.common(b, a))

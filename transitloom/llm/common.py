@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 import uuid
@@ -43,12 +44,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables made by ``materialize`` that no later plan reads."""
+    """Delete tables made by ``materialize`` that no later plan reads, and let go of shuffle files of the steps that made them.
+
+    Spark drops these when the driver's JVM finds a finished plan unreachable, which may be long after.
+    """
     for df in tables:
         spark, path = df.sparkSession, getattr(df, "_transitloom_path", None)
         if path:
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    for df in tables[:1]:
+        gc.collect()
+        df.sparkSession._jvm.System.gc()
 
 
 def without(docs: DataFrame, gone: DataFrame, id_col: str, rows: int = 2_000_000) -> DataFrame:
