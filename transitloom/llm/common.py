@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import shutil
 import tempfile
 import uuid
@@ -11,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
+#: Spark's setting that removes a command's shuffle files when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -34,28 +35,30 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a table in the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write a table in the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    The shuffle files of the write go with its end: nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/transitloom/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._transitloom_path = path
     return out
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables made by ``materialize`` that no later plan reads, and let go of shuffle files of the steps that made them.
-
-    Spark drops these when the driver's JVM finds a finished plan unreachable, which may be long after.
-    """
+    """Delete tables made by ``materialize`` that no later plan reads."""
     for df in tables:
         spark, path = df.sparkSession, getattr(df, "_transitloom_path", None)
         if path:
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    for df in tables[:1]:
-        gc.collect()
-        df.sparkSession._jvm.System.gc()
 
 
 def without(docs: DataFrame, gone: DataFrame, id_col: str, rows: int = 2_000_000) -> DataFrame:

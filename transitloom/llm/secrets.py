@@ -1,8 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest, all in DataFrame functions.
 
 The forest is grown on the driver from a bounded table of labelled findings,
-whose features the same expressions compute, and is then written out as nested
-CASE expressions, so the scan itself runs in the JVM only.
+whose features the same expressions compute, and is then laid out in arrays that
+each candidate walks down level by level, so the scan itself runs in the JVM only.
 """
 
 from __future__ import annotations
@@ -20,14 +20,14 @@ PREFIX = "AKIA|ASIA|AIza|gh[pousr]_|github_pat_|sk_live_|sk-|xox[abpr]-|eyJ|glpa
 _SIGN = r"[\"']?[ \t]{0,3}[=:][ \t]{0,3}"
 _KEY = r"token|(?:api|access|secret|private)[_-]?key"
 #: What may be a secret: the value after a telling name, a token of 16 characters or more with a digit or a known
-#: beginning, a key header. Every repetition has a bound or is possessive, so that no text makes the search slow.
+#: beginning, a private key with its body. Every repetition has a bound or is possessive, so that no text makes the search slow.
 PATTERN = (
     r"(?<=[=: \t\"'])(?<=[=:][ \t]{0,3}[\"']?)(?i:"
     rf"(?<=(?:password|passwd|secret|pwd){_SIGN}[\"']?)[^\s\"'<>|,;]{{8,}}+"
     rf"|(?<=(?:{_KEY}){_SIGN}[\"'])[^\s\"'<>|,;]{{8,}}+"
     rf"|(?<=(?:{_KEY}){_SIGN})[a-z0-9_+/-]{{8,}}+={{0,2}})"
     rf"|(?<![A-Za-z0-9_+/-])(?=(?:{PREFIX})|[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{{16,}}+={{0,2}}"
-    r"|-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+    r"|-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s:,]*+-----END [A-Z ]{0,40}PRIVATE KEY-----)?+"
 )
 #: Characters of context that features see on either side.
 CONTEXT = 48
@@ -64,7 +64,7 @@ def features(secret: Column, left: Column, right: Column, path: Column) -> list[
         # transitions between a consonant and a vowel, as words have them
         1 - F.length(F.regexp_replace(low, "[bcdfghjklmnpqrstvwxyz][aeiou]", "")) / size,
         1 - F.length(F.regexp_replace(low, "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))), "")) / size,
-        F.size(F.array_distinct(F.split(F.substring(secret, 1, 64), ""))).cast("double") / F.least(size, F.lit(64.0)),
+        F.size(F.array_distinct(F.split(secret, ""))).cast("double") / size,
         flag(secret.rlike(f"^({PREFIX}|-----BEGIN)")),
         flag(left.rlike(f"(?i)({TELLING})[^a-z0-9]{{0,6}}$")),
         flag(F.concat(left, secret, right).rlike(f"(?i){EXAMPLE}")),
@@ -77,7 +77,7 @@ def features(secret: Column, left: Column, right: Column, path: Column) -> list[
 
 
 def labelled_findings(spark: SparkSession, n: int = 2_000) -> DataFrame:
-    """``(secret, left, right, path, label)``: a table of findings made by rule from hashes, half of them true.
+    """``(secret, left, right, path, label, kind)``: a table of findings made by rule from hashes, half of them true.
 
     For use where no reviewed findings are at hand. True ones: named tokens,
     access keys, passwords, prefixed keys; false ones: digests, commits, card and
@@ -99,10 +99,11 @@ def labelled_findings(spark: SparkSession, n: int = 2_000) -> DataFrame:
         (F.substring(h(2), 1, 18), F.concat(prose, name("password=", "passwd=", "PASSWORD=", "pwd=")), name(" ", "!! ", "%%% "), 1),
         (F.concat(name("ghp_", "gho_", "sk_live_", "glpat-"), F.translate(F.substring(mixed, 1, 36), "+/", "xy")), F.concat(prose, name("token: ", "key = ", "", "Bearer ")), F.lit(" "), 1),
         (F.substring(mixed, 1, 40), F.concat(prose, name("secret_key = '", "aws_secret_access_key=", 'client_secret: "', "Authorization: Bearer ")), name("'", " ", '"', " "), 1),
-        (F.lit("-----BEGIN RSA PRIVATE KEY-----"), none, F.lit("\nMII"), 1),
+        (F.concat(name("-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("\n"), mixed, F.lit("\n"), mixed, F.lit("\n-----END PRIVATE KEY-----"))).otherwise("")), none, F.lit("\nMII"), 1),
         (F.concat(F.substring(mixed, 1, 12), F.lit("!9")), F.concat(prose, F.lit("password=")), F.lit(" "), 1),
         (F.concat(F.lit("xoxb-"), F.substring(digits, 1, 12), F.lit("-"), F.translate(F.substring(mixed, 1, 24), "+/", "xy")), F.concat(prose, name("slack ", "token=", "", "bot ")), F.lit(" "), 1),
         (F.concat(F.substring(mixed, 1, 8), name("", "!x", "#", "")), F.concat(prose, name('password = "', "password: ", '"password": "', "token: ")), name('" ', " ", '"', " "), 1),
+        (F.concat(F.substring(word, 1, 6), F.substring(digits, 1, 2), name("", "!", "", "4")), F.concat(prose, name("password: ", "password=", 'pwd = "', 'passwd: "')), name(" ", " ", '" ', '", '), 1),
         (F.translate(F.concat(F.lit("AKIA"), F.upper(F.substring(mixed, 5, 16))), "+/0123456789", "ABCDEFGHIJKL"), F.concat(prose, name("", "key = ", "id ", "")), F.lit(" "), 1),
         (F.substring(word, 1, 9), F.concat(prose, name("password: ", "secret: ", "token: ", "password = ")), F.lit(" "), 0),
         (F.concat(F.substring(word, 1, 5), name("_", "-", "/", "_"), F.substring(word, 6, 8)), F.concat(prose, name("token=", "password: ", 'token: "', "api_key: ")), F.lit(" "), 0),
@@ -117,8 +118,12 @@ def labelled_findings(spark: SparkSession, n: int = 2_000) -> DataFrame:
         (F.concat(F.lit("/"), F.substring(word, 1, 6), F.lit("/"), F.substring(word, 7, 9), F.lit("/"), F.substring(digits, 1, 5)), F.concat(prose, F.lit("http:")), F.lit(" "), 0),
         (F.concat_ws("-", F.substring(h(3), 1, 8), F.substring(h(3), 9, 4), F.substring(h(3), 13, 4), F.substring(h(3), 17, 4), F.substring(h(3), 21, 12)), F.concat(prose, name("uuid ", "order ", "id=", "invoice ")), F.lit(" "), 0),
     ]
-    row = [F.struct(s.alias("secret"), left.alias("left"), F.concat(right, prose).alias("right"), name("src/a.py", "web", "conf/x.yml", "notes").alias("path"), F.lit(y).alias("label")) for s, left, right, y in kinds]
-    return spark.range(0, n, 1, 1).select(F.element_at(F.array(*row), (F.col("id") % len(row) + 1).cast("int")).alias("r")).select("r.*")
+    path = name("src/a.py", "web", "conf/x.yml", "notes").alias("path")
+    out = None
+    for i, (secret, left, right, y) in enumerate(kinds):  # a projection for each kind, small enough to be compiled
+        own = spark.range(i, n, len(kinds), 1).select(secret.alias("secret"), left.alias("left"), F.concat(right, prose).alias("right"), path, F.lit(y).alias("label"), F.lit(i).alias("kind"))
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def grow(rows: list[tuple[list[float], int]], trees: int = TREES, depth: int = DEPTH, tries: int = TRIES, seed: int = SEED) -> list:
@@ -151,34 +156,102 @@ def grow(rows: list[tuple[list[float], int]], trees: int = TREES, depth: int = D
     return [node([rows[rng.randrange(len(rows))] for _ in rows], 0) for _ in range(trees)] if rows else []
 
 
-def fit(findings: DataFrame, train_rows: int = TRAIN_ROWS) -> list:
-    """Grow the forest from at most about ``train_rows`` of ``findings(secret, left, right, path, label)``, by hash.
-
-    Rows with a null secret or label are ignored; other nulls count as empty.
-    """
+def _rows(findings: DataFrame, train_rows: int, *more: str) -> list:
+    """``x``, ``y`` and ``more`` of at most about ``train_rows`` findings, picked by a hash."""
     c = lambda name: F.coalesce(F.col(name), F.lit(""))
     own = findings.filter("secret is not null and label is not null")
     n = own.count()
     part = own if n <= train_rows else own.filter(F.pmod(F.xxhash64("secret", "left", "right"), F.lit(1 << 30)) < int(train_rows / n * (1 << 30)))
     x = F.array(*features(c("secret"), F.right(c("left"), F.lit(CONTEXT)), F.left(c("right"), F.lit(CONTEXT)), c("path")))
-    return grow([(list(r["x"]), int(r["y"])) for r in part.select(x.alias("x"), F.col("label").cast("int").alias("y")).collect()])
+    return part.select(x.alias("x"), F.col("label").cast("int").alias("y"), F.pmod(F.xxhash64("secret", "left"), F.lit(5)).alias("fold"), *more).collect()
+
+
+def fit(findings: DataFrame, train_rows: int = TRAIN_ROWS) -> list:
+    """Grow the forest from at most about ``train_rows`` of ``findings(secret, left, right, path, label)``, by hash.
+
+    Rows with a null secret or label are ignored; other nulls count as empty.
+    """
+    return grow([(list(r["x"]), r["y"]) for r in _rows(findings, train_rows)])
+
 
+def vote(forest: list, x: list[float]) -> float:
+    """The forest's mean share for one candidate, on the driver."""
+    total = 0.0
+    for tree in forest:
+        while isinstance(tree, tuple):
+            tree = tree[2] if x[tree[0]] <= tree[1] else tree[3]
+        total += tree
+    return total / len(forest) if forest else 0.5
 
-def votes(forest: list, values: list[Column]) -> Column:
-    """The forest's mean share as one expression over the features' columns; 0.5 without trees."""
 
-    def of(tree) -> Column:
-        if not isinstance(tree, tuple):
-            return F.lit(float(tree))
-        f, t, low, high = tree
-        return F.when(values[f] <= F.lit(t), of(low)).otherwise(of(high))
+def evaluate(findings: DataFrame, train_rows: int = TRAIN_ROWS, cut: float = CUT) -> dict[int, tuple[int, float, float]]:
+    """For each ``kind`` of findings its label, the share called a secret among a fifth kept from training, and that
+    among all of the kind when no finding of it is trained on."""
+    rows = _rows(findings, train_rows, "kind")
+    share = lambda forest, own: sum(round(vote(forest, r["x"]), 6) >= cut for r in own) / max(1, len(own))
+    whole = grow([(list(r["x"]), r["y"]) for r in rows if r["fold"]])
+    out = {}
+    for kind in sorted({r["kind"] for r in rows}):
+        own = [r for r in rows if r["kind"] == kind]
+        rest = grow([(list(r["x"]), r["y"]) for r in rows if r["kind"] != kind])
+        out[kind] = (own[0]["y"], share(whole, [r for r in own if not r["fold"]]), share(rest, own))
+    return out
 
+
+def laid_out(forest: list, depth: int = DEPTH) -> tuple[list[list[int]], list[list[float]], list[list[float]]]:
+    """For each tree the features and thresholds of its inner nodes, level by level, and the shares of its leaves.
+
+    The children of node i are 2i + 1 and 2i + 2; a branch that ends early goes on to equal leaves.
+    """
+    features_, thresholds, leaves = [], [], []
+    for tree in forest:
+        level, f, t = [tree], [], []
+        for _ in range(depth):
+            f += [n[0] if isinstance(n, tuple) else 0 for n in level]
+            t += [float(n[1]) if isinstance(n, tuple) else 0.0 for n in level]
+            level = [c for n in level for c in (n[2:] if isinstance(n, tuple) else (n, n))]
+        features_.append(f)
+        thresholds.append(t)
+        leaves.append([float(n) for n in level])
+    return features_, thresholds, leaves
+
+
+def _list(values: list, kind: str) -> Column:
+    return F.array(*map(F.lit, values)).cast(f"array<{kind}>")
+
+
+def with_votes(df: DataFrame, forest: list, x: str, name: str) -> DataFrame:
+    """``df`` with the forest's mean share for the features ``df[x]``; 0.5 without trees.
+
+    Each level is a projection of its own that moves every tree's place one level
+    down by array lookups: small enough to be compiled, whatever the forest.
+    """
+    if not forest:
+        return df.withColumn(name, F.lit(0.5))
+    own, thresholds, leaves = laid_out(forest)
+    out = df.withColumns({f"__at{t}": F.lit(0) for t in range(len(forest))})
+    for _ in range(DEPTH):
+        places = {t: F.col(f"__at{t}") for t in range(len(forest))}
+        out = out.withColumns({f"__at{t}": 2 * at + 1 + (F.get(x, F.get(_list(own[t], "int"), at)) > F.get(_list(thresholds[t], "double"), at)).cast("int") for t, at in places.items()})
+    total = F.lit(0.0)
+    for t in range(len(forest)):
+        total = total + F.get(_list(leaves[t], "double"), F.col(f"__at{t}") - ((1 << DEPTH) - 1))
+    return out.withColumn(name, total / len(forest)).drop(*[f"__at{t}" for t in range(len(forest))])
+
+
+def votes(forest: list, x: Column) -> Column:
+    """The same as one expression over an array of features, for use within a list of candidates."""
     if not forest:
         return F.lit(0.5)
-    total = of(forest[0])
-    for tree in forest[1:]:
-        total = total + of(tree)
-    return total / len(forest)
+    own, thresholds, leaves = (_list([v for tree in part for v in tree], kind) for part, kind in zip(laid_out(forest), ("int", "double", "double"), strict=True))
+    inner, ends = (1 << DEPTH) - 1, 1 << DEPTH
+    levels = F.array(*map(F.lit, range(DEPTH)))
+
+    def tree(total: Column, t: Column) -> Column:
+        end = F.aggregate(levels, F.lit(0), lambda at, _: 2 * at + 1 + (F.get(x, F.get(own, t * inner + at)) > F.get(thresholds, t * inner + at)).cast("int"))
+        return total + F.get(leaves, t * ends + end - inner)
+
+    return F.aggregate(F.array(*map(F.lit, range(len(forest)))), F.lit(0.0), tree) / len(forest)
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
@@ -210,15 +283,17 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_
     """
     forest = fit(findings if findings is not None else labelled_findings(docs.sparkSession))
     found = candidates(docs, id_col, text_col, path_col)
-    named = found.select("*", *[c.alias(f"f_{n}") for n, c in zip(FEATURES, features(*map(F.col, ("secret", "left", "right", "path"))), strict=True)])
-    scored = named.withColumn("score", F.round(votes(forest, [F.col(f"f_{n}") for n in FEATURES]), 6))
+    named = found.withColumn("x", F.array(*features(*map(F.col, ("secret", "left", "right", "path")))))
+    scored = with_votes(named, forest, "x", "votes").withColumn("score", F.round("votes", 6))
     return scored.select(F.col("id").alias(id_col), "start", F.length("secret").alias("length"), "secret", "score", (F.col("score") >= cut).alias("is_secret"))
 
 
 def redact(docs: DataFrame, findings: DataFrame | None = None, text_col: str = "text", path_col: str | None = "source", cut: float = CUT, mark: str = "[SECRET]", size_col: str | None = "n_chars") -> DataFrame:
     """The same rows and columns, every secret in the text replaced by ``mark``; ``size_col`` is counted anew.
 
-    Each text is put together from its pieces in place: no shuffle, no join.
+    Each text is put together from its pieces in place: no shuffle, no join. Null
+    and empty texts stay as they are, a null path counts as empty, repeated rows
+    are changed alike; a tie at the cut is a secret.
     """
     forest = fit(findings if findings is not None else labelled_findings(docs.sparkSession))
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
@@ -229,7 +304,7 @@ def redact(docs: DataFrame, findings: DataFrame | None = None, text_col: str = "
         left, right = F.element_at("__cut.pieces", i + 1), F.element_at("__cut.pieces", i + 2)
         # the features are bound once: a lambda over a struct keeps the trees' tests short
         x = F.array(*features(s, F.right(left, F.lit(CONTEXT)), F.left(right, F.lit(CONTEXT)), path))
-        return F.concat(left, F.element_at(F.transform(F.array(x), lambda v: F.when(F.round(votes(forest, [F.get(v, F.lit(k)) for k in range(len(FEATURES))]), 6) >= cut, F.lit(mark)).otherwise(s)), 1))
+        return F.concat(left, F.element_at(F.transform(F.array(x), lambda v: F.when(F.round(votes(forest, v), 6) >= cut, F.lit(mark)).otherwise(s)), 1))
 
     joined = F.concat(F.array_join(F.transform("__cut.found", part), ""), F.element_at("__cut.pieces", -1))
     new = F.when(F.col("__cut").isNotNull(), joined).otherwise(F.col(text_col))
