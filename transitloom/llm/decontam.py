@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of
-from .textstats import Words, text_batches
+from .textstats import Words, text_slices
 
 #: Words of a shingle; least similarity; differing bits up to which a window is verified.
 WORDS, SIMILAR, RADIUS = 5, 0.8, 20
@@ -180,9 +180,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             names, index = shared.value
             for batch in batches:
-                texts, ids = batch.column(1).to_pylist(), batch.column(0)
-                for a, b in text_batches(texts, 1 << 21):
-                    found = list(index.scan(texts[a:b], least))
+                ids = batch.column(0)
+                for a, texts in text_slices(batch.column(1)):
+                    found = list(index.scan(texts, least))
                     if not found:
                         continue
                     doc, item, start, n, distance, similarity = zip(*found, strict=True)
@@ -219,10 +219,9 @@ def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value[1]
             for batch in batches:
-                texts = [t or "" for t in batch.column(at).to_pylist()]
-                clean = np.ones(len(texts), bool)
-                for a, b in text_batches(texts, 1 << 21):
-                    clean[[a + found[0] for found in index.scan(texts[a:b], least)]] = False
+                clean = np.ones(batch.num_rows, bool)
+                for a, texts in text_slices(batch.column(at)):
+                    clean[[a + found[0] for found in index.scan(texts, least)]] = False
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import simhash
 from .common import connected_components, discard, materialize, text_of, without
-from .textstats import Words, mix, text_batches
+from .textstats import Words, mix, text_slices
 
 #: Words of a shingle, and the similarity from which two texts link.
 WORDS, SIMILAR = 5, 0.8
@@ -49,10 +49,9 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, keys: bool) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in text_batches(texts, 1 << 20):
+            for a, texts in text_slices(batch.column(1)):
                 at, node, size, values = [], [], [], []
-                for i, own in enumerate(shingle_sets(texts[a:b], words), a):
+                for i, own in enumerate(shingle_sets(texts, words), a):
                     if len(own):
                         at.append(i)
                         node.append(mix(mix(own ^ np.uint64(words)).sum(keepdims=True))[0])
@@ -106,18 +105,21 @@ def _across(sets: DataFrame, least: float) -> DataFrame:
     Of two such sets of n and m elements each holds one of the other's rarest
     ``n - ceil(least * n) + 1``, whatever the order by which they are rare. Elements
     that no other set has come first in it and join nothing, so copies that were changed
-    too much for any link drop out before sets are paired. Of the sets that share
-    an element those of its first component meet the others only.
+    too much for any link drop out before sets are paired; and two sets can share no
+    more than either has beyond such elements, or than follows the place of their
+    first common one. Of the sets that share an element those of its first component
+    meet the others only.
     """
     each = sets.select("node", "n", "c", F.explode("own").alias("s"))
     often = each.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("c").alias("first"), F.max("c").alias("last")).filter("df > 1")
     node = Window.partitionBy("node")
     ranked = each.join(often, "s").withColumn("rank", F.row_number().over(node.orderBy("df", "s"))).withColumn("m", F.count(F.lit(1)).over(node))
     prefix = F.col("n") - F.ceil(least * F.col("n") - 1e-9) + 1
-    kept = materialize(ranked.filter(F.col("rank") <= prefix - (F.col("n") - F.col("m"))).filter("first <> last").select("s", "node", "n", "c"), "jaccard-prefixes")
+    kept = materialize(ranked.filter(F.col("rank") <= prefix - (F.col("n") - F.col("m"))).filter("first <> last").select("s", "node", "n", "c", "m", (F.col("m") - F.col("rank")).alias("after")), "jaccard-prefixes")
     one = kept.withColumn("first", F.min("c").over(Window.partitionBy("s")))
     a, b = one.filter("c <> first").alias("a"), one.alias("b")
-    sized = F.least("a.n", "b.n") >= least * F.greatest("a.n", "b.n") - 1e-9
+    shared = least / (1 + least) * (F.col("a.n") + F.col("b.n")) - 1e-6
+    sized = (F.least("a.m", "b.m") >= shared) & (F.least("a.after", "b.after") + 1 >= shared)
     return a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.c") != F.col("b.c")) & ((F.col("b.c") == F.col("b.first")) | (F.col("a.node") < F.col("b.node"))) & sized).select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, text_of
-from .textstats import _LOWER, Words, text_batches
+from .textstats import Words, text_slices
 
 #: At most about so many labelled rows are read for training, chosen by a hash of the id.
 TRAIN_ROWS = 20_000
@@ -174,10 +174,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in text_batches(texts, 1 << 21):
-                x = features(texts[a:b])
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"])
+            for a, texts in text_slices(batch.column(0)):
+                x = features(texts)
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, len(texts)), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(few, "id").select("text", "y").mapInArrow(run, "y int, x array<double>").collect()
     rows.sort(key=lambda r: (r["y"], r["x"]))
@@ -192,10 +191,9 @@ def score(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            out = np.zeros(len(texts))
-            for a, b in text_batches(texts, 1 << 21):
-                out[a:b] = 1 / (1 + np.exp(-shared.value.margin(features(texts[a:b]))))
+            out = np.zeros(batch.num_rows)
+            for a, texts in text_slices(batch.column(1)):
+                out[a : a + len(texts)] = 1 / (1 + np.exp(-shared.value.margin(features(texts))))
             cols = [batch.column(0), pa.array(out, pa.float64()), pa.array((out >= cut).astype(np.int32), pa.int32()), *[batch.column(2 + i) for i in range(len(more))]]
             yield pa.RecordBatch.from_arrays(cols, [id_col, "score", "predicted", *[c for c, _ in more]])
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -64,14 +68,11 @@ class Words:
         return mix(out)
 
 
-def text_batches(texts: list, limit: int):
-    """Index ranges of consecutive texts of about ``limit`` characters; a longer text stands alone."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
-        if i > start and size + n > limit:
-            yield start, i
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield start, len(texts)
+def text_slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+    """``(first row, texts)`` of consecutive rows of about ``limit`` bytes, nulls as empty texts; a longer text stands alone."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < len(total):
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + limit, "right")))
+        yield a, [t or "" for t in column.slice(a, b - a).to_pylist()]
+        a = b
