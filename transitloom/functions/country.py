@@ -24,8 +24,14 @@ def plate_code(c: Column) -> Column:
 
 
 def iso_code(c: Column) -> Column:
-    """ISO code of a timetable code; others stay."""
-    return F.coalesce(_map(TO_ISO)[c], c)
+    """ISO code of a code in any form; blank gives null, an unknown code stays, in capitals."""
+    code = plate_code(c)
+    return F.coalesce(_map(TO_ISO)[code], code)
+
+
+def home_or(c: Column) -> Column:
+    """Timetable code, the home country where there is none."""
+    return F.coalesce(plate_code(c), F.lit("CZ"))
 
 
 def border_code(c: Column) -> Column:

@@ -20,6 +20,31 @@ def box(lat: Column, lon: Column, radius: float) -> Column:
     return F.format_string("%.6f,%.6f,%.6f,%.6f", lat - radius, lon - wide, lat + radius, lon + wide)
 
 
+def box_lon_first(lat: Column, lon: Column, radius: float = 0.2) -> Column:
+    """``west,south,east,north``, the order that some services ask for."""
+    wide = F.lit(radius) / F.greatest(F.lit(0.35), F.abs(F.cos(F.radians(lat))))
+    return F.format_string("%.6f,%.6f,%.6f,%.6f", lon - wide, lat - radius, lon + wide, lat + radius)
+
+
+def spread_metres(lat: Column, lon: Column, mean_lat: Column, mean_lon: Column) -> Column:
+    """Distance to a mean point on a plane at the mean's latitude."""
+    return F.hypot((lat - mean_lat) * DEGREE, (lon - mean_lon) * DEGREE * F.cos(F.radians(mean_lat)))
+
+
+def ten_thousandths(c: Column) -> Column:
+    """The number of ten-thousandths next to the exact binary value of a double below 2^30, ties to even.
+
+    ``round`` works on decimal text and differs where the binary value lies just
+    beside a tie. Here the value is split in two halves whose products with 20000
+    are exact, so the comparison with the tie is.
+    """
+    low = F.floor(c * 10000).cast("long")
+    spread = c * F.lit(134217729.0)
+    high = spread - (spread - c)
+    beside = (high * 20000 - (2 * low + 1).cast("double")) + (c - high) * 20000
+    return low + F.when((beside > 0) | ((beside == 0) & (F.abs(low) % 2 == 1)), 1).otherwise(0)
+
+
 def travel_budget(minutes: Column) -> Column:
     """Metres that a vehicle may have come in so many minutes."""
     return F.lit(2000.0) + minutes * 2500.0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Limits in kilometres for integrated and other routes: whole trip, depth abroad.
@@ -14,16 +14,19 @@ def trip_metrics(calls: DataFrame, home: str = "CZ") -> DataFrame:
 
     ``calls`` has route, trip, country (null if unknown) and km.
     """
-    lists = calls.groupBy("route", "trip").agg(
-        F.collect_list(F.when(F.col("country") == home, F.col("km"))).alias("inner"),
-        F.collect_list(F.when(F.col("country") != home, F.col("km"))).alias("outer"),
+    by_km = Window.partitionBy("route", "trip").orderBy("km")
+    inner = F.when(F.col("country") == home, F.col("km"))
+    # of the home calls only the next ones down and up the line can be nearest
+    below = F.last(inner, True).over(by_km.rowsBetween(Window.unboundedPreceding, 0))
+    above = F.first(inner, True).over(by_km.rowsBetween(0, Window.unboundedFollowing))
+    away = calls.withColumn("away", F.when(F.col("country") != home, F.least(F.col("km") - below, above - F.col("km"))))
+    return away.groupBy("route", "trip").agg(
         F.count_if(F.col("country") == home).alias("n_home"),
         F.count_if(F.col("country") != home).alias("n_foreign"),
         F.count_if(F.col("km").isNull()).alias("n_missing"),
         (F.max("km") - F.min("km")).alias("span"),
+        F.max("away").alias("depth"),
     )
-    depth = F.array_max(F.transform("outer", lambda x: F.array_min(F.transform("inner", lambda y: F.abs(x - y)))))
-    return lists.withColumn("depth", depth).drop("inner", "outer")
 
 
 def classify(calls: DataFrame, routes: DataFrame, adjacent: list[str], declared: list[str], home: str = "CZ") -> DataFrame:

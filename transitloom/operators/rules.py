@@ -29,11 +29,26 @@ def overlaps(a: str, b: str) -> Column:
     return both | nested | ((ka == PREFIX) & (kb != PREFIX) & mixed(la, lb, hb)) | ((kb == PREFIX) & (ka != PREFIX) & mixed(lb, la, ha))
 
 
+def _bucketed(p: DataFrame) -> DataFrame:
+    """Parsed rules under each ``bucket`` in which an equally specific rule that overlaps must lie too.
+
+    Exact numbers and prefixes of one length overlap only if equal; a range is
+    listed under the leading pairs of digits that it spans.
+    """
+    ends = (F.substring(c, 1, 2).cast("int") for c in ("low", "high"))
+    bands = F.transform(F.sequence(*ends), lambda d: F.concat(F.length("low").cast("string"), F.lit("/"), d.cast("string")))
+    return p.withColumn("bucket", F.explode(F.when(F.col("kind") == RANGE, bands).otherwise(F.array("low"))))
+
+
+def _same_bucket(agency: str) -> Column:
+    return (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.kind") == F.col("b.kind")) & (F.col("a.narrowness") == F.col("b.narrowness")) & (F.col(f"a.{agency}") == F.col(f"b.{agency}")) & (F.col("a.id") < F.col("b.id"))
+
+
 def conflicts(rules: DataFrame, value: str) -> DataFrame:
     """Pairs of equally specific rules of one agency that overlap and give different values."""
-    p = parse(rules).filter("kind is not null")
-    same = (F.col("a.id") < F.col("b.id")) & (F.col("a.kind") == F.col("b.kind")) & (F.col("a.narrowness") == F.col("b.narrowness")) & (F.col("a.agency") == F.col("b.agency"))
-    return p.alias("a").join(p.alias("b"), same & (F.col(f"a.{value}") != F.col(f"b.{value}")) & overlaps("a", "b")).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"))
+    p = _bucketed(parse(rules).filter("kind is not null"))
+    hit = _same_bucket("agency") & (F.col(f"a.{value}") != F.col(f"b.{value}")) & overlaps("a", "b")
+    return p.alias("a").join(p.alias("b"), hit).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id")).distinct()
 
 
 def line_guard(c: Column) -> Column:
@@ -72,11 +87,10 @@ def _common(rows: DataFrame) -> tuple[DataFrame, list[tuple[Column, str]]]:
 
 def _pair_errors(rows: DataFrame, differ: Column, apart: Column | None = None) -> DataFrame:
     """Overlapping pairs of equally specific rules; a rule for any agency differs in specificity from one with an agency."""
-    p = parse(rows).filter("kind is not null")
-    same = (F.col("a.id") < F.col("b.id")) & (F.col("a.kind") == F.col("b.kind")) & (F.col("a.narrowness") == F.col("b.narrowness")) & (F.col("a.agency_id") == F.col("b.agency_id"))
-    hit = same & differ & overlaps("a", "b")
+    p = _bucketed(parse(rows).filter("kind is not null"))
+    hit = _same_bucket("agency_id") & differ & overlaps("a", "b")
     hit = hit if apart is None else hit & ~apart
-    return p.alias("a").join(p.alias("b"), hit).select(F.col("b.id").alias("id"), F.concat(F.lit("conflicts with "), F.col("a.id").cast("string")).alias("error"))
+    return p.alias("a").join(p.alias("b"), hit).select(F.col("b.id").alias("id"), F.concat(F.lit("conflicts with "), F.col("a.id").cast("string")).alias("error")).distinct()
 
 
 def mode_errors(rows: DataFrame) -> DataFrame:
@@ -97,13 +111,35 @@ def presentation_errors(rows: DataFrame) -> DataFrame:
     return _row_errors(p, checks).unionByName(_pair_errors(rows, both[0] | both[1] | both[2]))
 
 
-def resolve(numbers: DataFrame, rules: DataFrame, column: str = "licence") -> DataFrame:
-    """The most specific rule for each number: three equality joins, with ranges as a residual of their length and first digits.
-
-    ``rules`` has id, licence; of equally specific rules the smallest id counts.
+def directory_errors(tables: dict[str, DataFrame | Exception]) -> DataFrame:
+    """``(table, id, error)`` of the ``modes`` and ``presentation`` rules of a directory; a table that could not be read is one error."""
+    out = None
+    for name, check in (("modes", mode_errors), ("presentation", presentation_errors)):
+        rows = tables[name]
+        if isinstance(rows, Exception):
+            spark = next(t for t in tables.values() if isinstance(t, DataFrame)).sparkSession
+            own = spark.range(1).select(F.lit(None).cast("string").alias("id"), F.lit(str(rows)).alias("error"))
+        else:
+            own = check(rows).select(F.col("id").cast("string").alias("id"), "error")
+        own = own.select(F.lit(name).alias("table"), "id", "error")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def resolve(numbers: DataFrame, rules: DataFrame, column: str = "licence", agency: str | None = None, fields: tuple[str, ...] = ()) -> DataFrame:
+    """Every row of ``numbers`` with the most specific rule for its number: ``rule_id`` and ``kind``, null where none applies.
+
+    Each distinct number is looked up once, by equality joins on the number, its
+    prefixes, and its length and first digits for ranges. ``rules`` has id,
+    licence; of equally specific rules the smallest id counts. With ``agency``, a column of
+    both, rules with a blank one apply to all and those of the number's own come
+    first. For each of ``fields``, columns of the rules, the most specific rule
+    that is not blank there gives the value.
     """
-    p = parse(rules).filter("kind is not null").select("id", "kind", "low", "high", "narrowness")
-    n = numbers.withColumn("size__", F.length(column))
+    keys = [column, *([agency] if agency else [])]
+    own = F.col(agency) if agency else F.lit("")
+    p = parse(rules).filter("kind is not null").select("id", "kind", "low", "high", "narrowness", own.alias("agency__"), *fields)
+    n = numbers.select(*keys).filter(F.col(column).isNotNull()).distinct().withColumn("size__", F.length(column))
     exact = n.join(p.filter(F.col("kind") == EXACT), F.col(column) == F.col("low"))
     # a range is listed under each leading pair of digits that it spans
     band = F.explode(F.sequence(F.substring("low", 1, 2).cast("int"), F.substring("high", 1, 2).cast("int")))
@@ -112,5 +148,8 @@ def resolve(numbers: DataFrame, rules: DataFrame, column: str = "licence") -> Da
     tops = n.withColumn("top", F.explode(F.transform(F.sequence(F.lit(0), F.col("size__")), lambda i: F.substring(F.col(column), F.lit(1), i))))
     pre = tops.join(p.filter(F.col("kind") == PREFIX), F.col("top") == F.col("low")).drop("top")
     every = exact.unionByName(hit).unionByName(pre)
-    w = Window.partitionBy(*numbers.columns).orderBy(F.col("kind").desc(), F.col("narrowness").desc(), "id")
-    return every.withColumn("rn", F.row_number().over(w)).filter("rn = 1").select(*numbers.columns, F.col("id").alias("rule_id"), "kind")
+    if agency:
+        every = every.filter((F.col("agency__") == "") | (F.col("agency__") == F.col(agency)))
+    rank = F.struct((F.col("agency__") != "").alias("a"), F.col("kind").alias("k"), F.col("narrowness").alias("w"), (-F.col("id")).alias("i"))
+    best = every.groupBy(*keys).agg(F.max_by(F.struct(F.col("id").alias("rule_id"), "kind"), rank).alias("best"), *[F.max_by(f, F.when(F.coalesce(F.col(f), F.lit("")) != "", rank)).alias(f) for f in fields])
+    return numbers.join(best, keys, "left").select(*numbers.columns, "best.rule_id", "best.kind", *fields)

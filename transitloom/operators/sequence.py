@@ -34,24 +34,41 @@ def impacts(calls: DataFrame) -> DataFrame:
 def anchors(calls: DataFrame) -> DataFrame:
     """For each target call the nearest calls before and after with ``anchor`` set and a time not beyond its own.
 
-    ``minutes`` is a call's time. An anchor whose time runs the wrong way is passed over and the search goes on outward.
+    ``minutes`` is a call's time. An anchor whose time runs the wrong way is passed
+    over and the search goes on outward. Where a trip's times never run back the nearest
+    anchor is the one; only other trips have all their anchors gathered and searched.
     """
     w = Window.partitionBy("trip").orderBy("ord")
-    point = F.when(F.col("anchor") & F.col("minutes").isNotNull(), F.struct("ord", "place", "minutes"))
-    seen = calls.withColumns({"back": F.collect_list(point).over(w.rowsBetween(Window.unboundedPreceding, -1)), "ahead": F.collect_list(point).over(w.rowsBetween(1, Window.unboundedFollowing))})
-    good = seen.filter("target and minutes is not null")
-    return good.withColumns(
+    back, ahead = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    timed = F.col("minutes").isNotNull()
+    late = F.max("minutes").over(back) > F.col("minutes")
+    runs_back = F.bool_or(F.coalesce("late", F.lit(False))).over(Window.partitionBy("trip"))
+    rows = calls.withColumn("late", late).withColumn("astray", runs_back).drop("late")
+    point = F.when(F.col("anchor") & timed, F.struct("ord", "place", "minutes"))
+    wanted = F.col("target") & timed
+    straight = rows.filter("not astray").withColumns({"previous": F.last(point, True).over(back), "following": F.first(point, True).over(ahead)}).filter(wanted)
+    gathered = rows.filter("astray").withColumns({"back": F.collect_list(point).over(back), "ahead": F.collect_list(point).over(ahead)}).filter(wanted)
+    searched = gathered.withColumns(
         {
             "previous": F.try_element_at(F.filter("back", lambda a: a["minutes"] <= F.col("minutes")), F.lit(-1)),
             "following": F.try_element_at(F.filter("ahead", lambda a: a["minutes"] >= F.col("minutes")), F.lit(1)),
         }
     ).drop("back", "ahead")
+    return straight.unionByName(searched).drop("astray")
 
 
 def contexts(anchored: DataFrame) -> DataFrame:
-    """Calls of one place between equal anchors at equal distances, counted, with the first trip as a sample."""
-    keyed = anchored.select(
+    """Calls of one place between equal anchors at equal distances, counted, with the first trip as a sample.
+
+    ``anchored`` are the anchors of collapsed calls; a call without any says nothing and is left out.
+    """
+    keyed = anchored.filter("previous is not null or following is not null").select(
         "place", "trip", "ord", F.col("previous.place").alias("prev_place"), (F.col("minutes") - F.col("previous.minutes")).alias("prev_minutes"),
         F.col("following.place").alias("next_place"), (F.col("following.minutes") - F.col("minutes")).alias("next_minutes"),
     )
     return keyed.groupBy("place", "prev_place", "prev_minutes", "next_place", "next_minutes").agg(F.count(F.lit(1)).alias("occurrences"), F.min_by("trip", F.struct("trip", "ord")).alias("sample_trip"))
+
+
+def occurrences(calls: DataFrame) -> DataFrame:
+    """``(place, occurrences)`` of the collapsed target calls, with or without a time."""
+    return collapse(calls).filter("target").groupBy("place").agg(F.count(F.lit(1)).alias("occurrences"))

@@ -1 +1 @@
-
+"""Plans that put operators together: resolving, auditing, the work list, the enriched catalogue."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitloom.functions import country, geo, text
-from transitloom.operators import catalog, match, policy, registry, rules, sequence
+from transitloom.operators import audit, catalog, match, places, policy, registry, resolve, rules, sequence
 from transitloom.sources import snapshots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,15 +70,23 @@ def timed_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("trip", F.col("ord.event_id").alias("event_id"), F.col("previous.ord.event_id").alias("previous_id"), F.col("following.ord.event_id").alias("following_id"))
 
 
-@query("""
-WITH t AS (SELECT user_id, event_id, event_type, ts FROM events WHERE event_type IN ('error', 'signup')), a AS (SELECT user_id, event_id AS aid, ts AS ats FROM events WHERE event_type = 'purchase'),
+@query(_RUNS + """, a AS (SELECT user_id, event_id AS aid, ts AS ats FROM f WHERE event_type = 'purchase'), t AS (SELECT * FROM f WHERE target),
 x AS (SELECT *, (SELECT max((ats, aid)) FROM a WHERE a.user_id = t.user_id AND (ats, aid) < (ts, event_id)) IS NOT NULL AS p, (SELECT min((ats, aid)) FROM a WHERE a.user_id = t.user_id AND (ats, aid) > (ts, event_id)) IS NOT NULL AS f FROM t)
-SELECT event_type AS place, p AS has_previous, f AS has_following, count(*) AS occurrences, min(user_id) AS first_trip FROM x GROUP BY 1, 2, 3""")
+SELECT event_type AS place, p AS has_previous, f AS has_following, count(*) AS occurrences, min(user_id) AS first_trip FROM x WHERE p OR f GROUP BY 1, 2, 3""")
 def route_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = sequence.contexts(sequence.anchors(_calls(spark, sf_dir)))
+    c = sequence.contexts(sequence.anchors(sequence.collapse(_calls(spark, sf_dir))))
     return c.groupBy("place", F.col("prev_place").isNotNull().alias("has_previous"), F.col("next_place").isNotNull().alias("has_following")).agg(F.sum("occurrences").alias("occurrences"), F.min("sample_trip").alias("first_trip"))
 
 
+@query(_RUNS + """, i AS (SELECT event_type, max(run) AS max_run, bool_or(terminus) AS terminus, count(DISTINCT user_id) AS trips FROM r WHERE target GROUP BY 1), o AS (SELECT event_type, count(*) AS occurrences FROM f WHERE target GROUP BY 1)
+SELECT event_type AS stop_id, occurrences, max_run, terminus, trips FROM i JOIN o USING (event_type) WHERE event_type = 'error' AND (max_run >= 3 OR terminus)""")
+def audit_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls = _calls(spark, sf_dir)
+    known = calls.select(F.col("place").alias("stop_id"), F.when(F.col("place") == "error", "missing").when(F.col("place") == "signup", "estimated").otherwise("stop").alias("precision")).distinct()
+    found = audit.targets(known, sequence.impacts(calls), ["missing"], 3, True)
+    return found.join(sequence.occurrences(calls).withColumnRenamed("place", "stop_id"), "stop_id").select("stop_id", "occurrences", "max_run", "terminus", "trips")
+
+
 # ---- names
 
 
@@ -254,21 +262,22 @@ def rule_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.conflicts(_rules(spark), "mode")
 
 
-@query(_RULE_SQL + """, n AS (SELECT p_partkey, lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS licence FROM part),
-x AS (SELECT p_partkey, n.licence, z.id AS rule_id, kind, row_number() OVER (PARTITION BY p_partkey ORDER BY kind DESC, narrowness DESC, z.id) AS rn FROM n JOIN z ON
+@query(_RULE_SQL + """, n AS (SELECT p_partkey, lpad(CAST(p_partkey // 2 AS VARCHAR), 6, '0') AS licence FROM part),
+z2 AS (SELECT * FROM z WHERE kind > 1 OR low <> ''), x AS (SELECT p_partkey, n.licence, z.id AS rule_id, kind, row_number() OVER (PARTITION BY p_partkey ORDER BY kind DESC, narrowness DESC, z.id) AS rn FROM n JOIN z2 AS z ON
  CASE kind WHEN 1 THEN starts_with(n.licence, low) ELSE length(n.licence) = length(low) AND n.licence BETWEEN low AND high END)
-SELECT p_partkey, licence, rule_id, kind FROM x WHERE rn = 1""")
+SELECT n.p_partkey, n.licence, rule_id, kind FROM n LEFT JOIN (SELECT * FROM x WHERE rn = 1) USING (p_partkey)""")
 def rule_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = _table(spark, sf_dir, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 6, "0").alias("licence"))
-    return rules.resolve(n, _rules(spark))
+    n = _table(spark, sf_dir, "part").select("p_partkey", F.lpad(F.floor(F.col("p_partkey") / 2).cast("string"), 6, "0").alias("licence"))
+    return rules.resolve(n, _rules(spark).filter("licence <> '*'"))
 
 
 # ---- matching
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", (F.lit(48.5) + F.col("p_partkey") % 251 * 0.01).alias("lat"), (F.lit(12.0) + F.col("p_partkey") % 691 * 0.01).alias("lon"))
-    stops = p.filter("p_partkey % 20 = 0").select(F.col("p_partkey").alias("stop"), "p_brand", F.array(text.normalize_text(F.col("p_name"))).alias("targets"), F.col("lat").alias("own_lat"), F.col("lon").alias("own_lon"))
+    town = F.concat_ws(" ", "p_brand", "p_type", F.col("p_size").cast("string"))
+    p = _table(spark, sf_dir, "part").select("p_partkey", "p_name", town.alias("p_brand"), (F.lit(48.5) + F.col("p_partkey") % 251 * 0.01).alias("lat"), (F.lit(12.0) + F.col("p_partkey") % 691 * 0.01).alias("lon"))
+    stops = p.filter("p_partkey % 4 = 0").select(F.col("p_partkey").alias("stop"), "p_brand", F.array(text.normalize_text(F.col("p_name"))).alias("targets"), F.col("lat").alias("own_lat"), F.col("lon").alias("own_lon"))
     return stops.join(p.select("p_brand", F.col("p_partkey").alias("ord"), "lat", "lon", F.array(text.normalize_text(F.col("p_name"))).alias("names")), "p_brand").filter("stop <> ord")
 
 
@@ -288,9 +297,81 @@ def platform_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.exact_choice(near.withColumns({"lat": F.floor(F.col("lat") * 10) / 10 + F.col("ord") % 5 * 0.001, "lon": F.floor(F.col("lon") / 3) * 3})).select("stop", "positions", "clusters", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
 
 
-@query("""SELECT c_nationkey, c_mktsegment, count(*) AS n, round(avg(48.5 + (c_custkey % 251) * 0.01::DOUBLE), 6) AS lat FROM customer GROUP BY 1, 2""")
+def _assessed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every fourth part is a stop, half of them of estimated place; all parts of its brand, type and size are candidates."""
+    k = F.col("p_partkey")
+    lat, lon = F.lit(48.5) + k % 251 * F.lit(0.01), F.lit(12.0) + k % 691 * F.lit(0.01)
+    p = _table(spark, sf_dir, "part").withColumns({"lat": lat, "lon": lon, "town": F.concat_ws(" ", "p_brand", "p_type", F.col("p_size").cast("string"))})
+    name = F.concat_ws(",", "town", F.replace("p_name", F.lit(" "), F.lit(",")))
+    at = lambda d: F.struct((k % 40 + d).cast("double").alias("minutes"), (F.col("lat") + F.lit(0.1)).alias("lat"), F.col("lon").alias("lon"))
+    contexts = F.array(F.struct(F.when(k % 3 == 0, at(-2)).alias("previous"), F.when(k % 5 == 0, at(0)).alias("following")))
+    stops = p.filter(k % 4 == 0).select(k.alias("stop"), name.alias("name"), F.col("town").alias("municipality"), F.lit("R").alias("region"), F.lit("CZ").alias("country"), (k % 8 == 0).alias("estimated"), F.col("lat").alias("own_lat"), F.col("lon").alias("own_lon"), contexts.alias("contexts"))
+    other = p.select(k.alias("ord"), F.array(F.when(k % 6 == 0, F.col("p_name")).otherwise(name)).alias("names"), (F.col("lat") + k % 3 * F.lit(0.002)).alias("lat"), "lon", F.col("town").alias("c_municipality"), F.lit("R").alias("c_region"), F.when(k % 11 == 0, "D").otherwise("CZ").alias("c_country"), F.when(k % 7 == 0, "poi").otherwise("stop").alias("kind"), F.lit(0).alias("rank"))
+    pairs = resolve.candidates_of(stops, other.withColumn("c_country", F.lit("CZ"))).join(other.select("ord", F.col("c_country").alias("land")), "ord").withColumn("c_country", F.col("land")).drop("land")
+    return stops, resolve.assess(pairs)
+
+
+@query()
+def candidate_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rows = _assessed(spark, sf_dir)
+    return rows.select("stop", "ord", "accepted", "reason", F.round("distance", 1).alias("distance"), F.round("score", 6).alias("score"))
+
+
+@query()
+def resolve_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stops, rows = _assessed(spark, sf_dir)
+    out = resolve.resolve(stops, rows, 0.7)
+    return out.select("stop", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "by", "reason", "candidates")
+
+
+@query(f"""WITH s AS (SELECT p_partkey AS stop, p_brand AS town, replace(p_name, ' ', ',') AS name FROM part WHERE p_partkey % 4 = 0), c AS (SELECT p_partkey AS cand, 'x ' || split_part(p_name, ' ', -1) AS name FROM part WHERE p_partkey % 5 = 0),
+i AS (SELECT stop, unnest([{_sql_normal("name", True)}, {_sql_normal("string_split(name, ',')[-1]", True)}, {_sql_normal("town || ',' || name", True)}]) AS v FROM s), j AS (SELECT cand, unnest([{_sql_normal("name", True)}, {_sql_normal("string_split(name, ',')[-1]", True)}]) AS v FROM c),
+a AS (SELECT stop, unnest([v, array_to_string(list_sort(string_split(v, ' ')), ' ')]) AS v FROM i), b AS (SELECT cand, unnest([v, array_to_string(list_sort(string_split(v, ' ')), ' ')]) AS v FROM j)
+SELECT DISTINCT stop, cand FROM a JOIN b USING (v) WHERE v <> ''""")
+def identity_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, p = F.col("p_partkey"), _table(spark, sf_dir, "part")
+    stops = p.filter(k % 4 == 0).select(k.alias("stop"), F.replace("p_name", F.lit(" "), F.lit(",")).alias("name"), F.col("p_brand").alias("municipality"))
+    other = p.filter(k % 5 == 0).select(k.alias("cand"), F.array(F.concat(F.lit("x "), F.element_at(F.split("p_name", " "), -1))).alias("names"))
+    return resolve.identity_matches(stops, other)
+
+
+@query("""WITH p AS (SELECT c_nationkey, c_mktsegment, c_custkey, 48.5 + (c_custkey % 251) * 0.01::DOUBLE AS la FROM customer WHERE c_custkey % 13 <> 0),
+k AS (SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'CZ' ELSE 'SK' END AS land, lower(c_mktsegment) AS town, 'R' || c_nationkey AS region, avg(la) AS lat FROM p GROUP BY 1, 2, 3),
+o AS (SELECT land, town, max(lat) AS lat FROM k GROUP BY 1, 2 HAVING count(*) = 1), s AS (SELECT c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN 'CZ' ELSE 'SK' END AS land, lower(c_mktsegment) AS town, 'R' || (c_nationkey + c_custkey % 2 * 2) AS region FROM customer)
+SELECT c_custkey, round(coalesce(k.lat, o.lat), 6) AS lat FROM s LEFT JOIN k USING (land, town, region) LEFT JOIN o USING (land, town)""")
 def centres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.lit(48.5) + F.col("c_custkey") % 251 * F.lit(0.01)), 6).alias("lat"))
+    k, c = F.col("c_custkey"), _table(spark, sf_dir, "customer")
+    land = F.when(F.col("c_nationkey") % 2 == 0, "CZ").otherwise("SK")
+    region = lambda n: F.concat(F.lit("R"), n.cast("string"))
+    zero = k % 13 == 0
+    posts = c.select(k.alias("number"), F.when(zero, 0.0).otherwise(F.lit(48.5) + k % 251 * F.lit(0.01)).alias("lat"), F.when(zero, 0.0).otherwise(12.0).alias("lon"))
+    where = c.select(k.alias("number"), F.col("c_mktsegment").alias("municipality"), region(F.col("c_nationkey")).alias("region"), land.alias("country"))
+    none = F.lit(None).cast("double")
+    stops = c.select("c_custkey", F.col("c_mktsegment").alias("municipality"), region(F.col("c_nationkey") + k % 2 * 2).alias("region"), land.alias("country"), none.alias("own_lat"), none.alias("own_lon"))
+    return resolve.with_centre(stops, resolve.municipality_centres(posts, where)).select("c_custkey", F.round("centre_lat", 6).alias("lat"))
+
+
+@query("""WITH s AS (SELECT c_custkey AS stop_id, 'name ' || (c_custkey % 97) AS name, CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'OL' WHEN 2 THEN 'OC' ELSE 'R' || (c_custkey % 4) END AS region FROM customer),
+p AS (SELECT 'Name,' || (s_suppkey % 101) AS name, CASE s_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'OC' ELSE 'R' || (s_suppkey % 4) END AS region, 50.0 + (s_suppkey % 7) * 0.004::DOUBLE AS lat, 15.0 + (s_suppkey % 3) * 0.002::DOUBLE AS lon FROM supplier),
+x AS (SELECT stop_id, p.lat, p.lon, avg(p.lat) OVER (PARTITION BY stop_id) AS ml, avg(p.lon) OVER (PARTITION BY stop_id) AS mo FROM s JOIN p ON s.name = lower(replace(p.name, ',', ' ')) AND (s.region = '' OR p.region = '' OR replace(s.region, 'OL', 'OC') = p.region))
+SELECT stop_id FROM x GROUP BY stop_id HAVING max(sqrt(pow((lat - ml) * 111320, 2) + pow((lon - mo) * 111320 * cos(radians(ml)), 2))) < 1000""")
+def covered_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, n = F.col("c_custkey"), F.col("s_suppkey")
+    code = lambda c: F.concat(F.lit("R"), (c % 4).cast("string"))
+    rows = _table(spark, sf_dir, "customer").select(k.alias("stop_id"), F.concat(F.lit("name "), (k % 97).cast("string")).alias("name"), F.when(k % 5 == 0, "").when(k % 5 == 1, "OL").when(k % 5 == 2, "OC").otherwise(code(k)).alias("region"), F.lit("").alias("country"))
+    points = _table(spark, sf_dir, "supplier").select(F.concat(F.lit("Name,"), (n % 101).cast("string")).alias("name"), F.when(n % 4 == 0, "").when(n % 4 == 1, "OC").otherwise(code(n)).alias("region"), F.lit("CZ").alias("country"), (F.lit(50.0) + n % 7 * F.lit(0.004)).alias("lat"), (F.lit(15.0) + n % 3 * F.lit(0.002)).alias("lon"))
+    return audit.covered(rows, points)
+
+
+@query("""WITH k AS (SELECT l_orderkey, l_suppkey, o_custkey % 50 AS route FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+SELECT DISTINCT l_suppkey AS stop_id, CAST(route AS VARCHAR) AS route, 1 AS distinction FROM k WHERE l_suppkey % 9 = 0 AND route % 3 <> 0 AND l_orderkey % 10 <> 0""")
+def kept_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = F.col("l_orderkey")
+    trip = F.concat(F.when(o % 10 == 0, "other:").otherwise("jdf:trip:"), (F.col("o_custkey") % 50).cast("string"), F.lit(":1:"), o.cast("string"))
+    calls = _table(spark, sf_dir, "lineitem").join(_table(spark, sf_dir, "orders"), F.col("o_orderkey") == o).select(trip.alias("trip_id"), F.col("l_suppkey").alias("stop_id"))
+    left = _table(spark, sf_dir, "supplier").filter("s_suppkey % 9 = 0").select(F.col("s_suppkey").alias("stop_id"))
+    decisions = spark.range(50).select(F.col("id").cast("string").alias("route"), F.lit(1).alias("distinction"), (F.col("id") % 3 != 0).alias("keep"))
+    return audit.kept_routes(calls, left, decisions)
 
 
 # ---- registry
@@ -315,11 +396,27 @@ def promote_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.allocate(s.filter("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("key")), s.select(F.col("s_name").alias("key")))
 
 
-@query("SELECT p_brand AS key, min(p_partkey) AS id FROM part WHERE p_size > 20 AND p_brand NOT IN (SELECT p_brand FROM part WHERE p_partkey <= 20) GROUP BY 1")
+@query("SELECT p_brand AS group_key, min(p_partkey) AS line FROM part WHERE p_size > 20 AND p_brand NOT IN (SELECT p_brand FROM part WHERE p_partkey <= 20) GROUP BY 1")
 def promote_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _table(spark, sf_dir, "part")
-    new = p.filter("p_size > 20").join(p.filter("p_partkey <= 20").select("p_brand").distinct(), "p_brand", "left_anti")
-    return catalog.first_wins(new, ["p_brand"], [F.col("p_partkey")]).select(F.col("p_brand").alias("key"), F.col("p_partkey").alias("id"))
+    row = [F.lit("s").alias("source_id"), F.col("p_brand").alias("group_key"), F.col("p_partkey").cast("string").alias("place_id")]
+    blank = [F.lit(None).cast("string").alias(c) for c in ("alias_of", "alias_of_suggestion")]
+    cand = p.select(*row, F.when(F.col("p_size") > 20, "new").otherwise("near").alias("reason"), F.lit("").alias("decision"), *blank, F.col("p_partkey").alias("line"))
+    made = registry.promote_places(p.filter("p_partkey <= 20").select(*row), cand, True)
+    return made.filter("status = 'added'").select("group_key", "line")
+
+
+@query("""WITH c AS (SELECT s_suppkey AS k, 'T' || (s_suppkey % 40) AS town, (s_suppkey - 1) // 2 + 1 AS prov FROM supplier WHERE s_suppkey % 3 <> 0),
+f AS (SELECT prov, min((town, k)) AS m FROM c GROUP BY 1), g AS (SELECT prov, m[1] AS town FROM f), o AS (SELECT town, min(prov) AS first FROM g GROUP BY 1)
+SELECT count(DISTINCT o.town) AS n FROM o WHERE town NOT IN ('T0', 'T1', 'T2')""")
+def promoted_towns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, s = F.col("s_suppkey"), _table(spark, sf_dir, "supplier")
+    none = [F.lit("").alias(c) for c in ("district", "nearby_place", "okres", "country", "lat", "lon", "note")]
+    own = spark.range(3).select((F.col("id") + 1).cast("string").alias("id"), F.concat(F.lit("T"), F.col("id").cast("string")).alias("town"), *none, F.lit("active").alias("status"), (F.col("id") + 2).alias("line"))
+    more = [F.lit(c).alias(n) for n, c in (("reason", "new"), ("decision", ""), ("alias_of", ""), ("alias_of_suggestion", ""))]
+    cand = s.filter(k % 3 != 0).select((F.floor((k - 1) / 2) + 1).cast("string").alias("provisional_id"), F.concat(F.lit("T"), (k % 40).cast("string")).alias("town"), *none, *more, k.alias("line"))
+    made = registry.promote_stops(own, cand, True)
+    return made.filter("is_new").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT substr(lpad(CAST(p_partkey * 7 AS VARCHAR), 6, '0'), 1, 4) AS code, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1")
@@ -328,19 +425,25 @@ def duplicate_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "part").groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-@query("""SELECT c_custkey, CASE WHEN la > 49.005 AND la < 50.005 AND lo > 13.005 AND lo < 14.005 THEN 'north' END AS region FROM (SELECT c_custkey, 48.5 + (c_custkey % 251) * 0.01::DOUBLE AS la, 12.0 + (c_custkey % 691) * 0.01::DOUBLE AS lo FROM customer)""")
+@query("""WITH p AS (SELECT c_custkey, 48.5 + (c_custkey % 251) * 0.01::DOUBLE AS la, 12.0 + (c_custkey % 691) * 0.01::DOUBLE AS lo FROM customer),
+r AS (SELECT n_nationkey AS code, 48.505 + n_nationkey * 0.09::DOUBLE AS s, 12.005 + (n_nationkey % 5) * 1.3::DOUBLE AS w FROM nation),
+x AS (SELECT c_custkey, min(code) AS code FROM p JOIN r ON la > s AND la < s + 0.25 AND lo > w AND lo < w + 1.75 GROUP BY 1 HAVING count(*) = 1)
+SELECT c_custkey, 'r' || code AS region FROM p LEFT JOIN x USING (c_custkey)""")
 def polygon_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     lat, lon = F.lit(48.5) + F.col("c_custkey") % 251 * F.lit(0.01), F.lit(12.0) + F.col("c_custkey") % 691 * F.lit(0.01)
-    ring = F.array(*[F.struct(F.lit(a).alias("lat"), F.lit(b).alias("lon")) for a, b in ((49.005, 13.005), (49.005, 14.005), (50.005, 14.005), (50.005, 13.005))])
-    return _table(spark, sf_dir, "customer").select("c_custkey", F.when(geo.in_polygon(lat, lon, ring), "north").alias("region"))
+    south, west = F.lit(48.505) + F.col("n_nationkey") * F.lit(0.09), F.lit(12.005) + F.col("n_nationkey") % 5 * F.lit(1.3)
+    corner = lambda a, b: F.struct((south + a).alias("lat"), (west + b).alias("lon"))
+    regions = _table(spark, sf_dir, "nation").select(F.concat(F.lit("r"), F.col("n_nationkey").cast("string")).alias("code"), F.array(F.array(corner(0, 0), corner(0, 1.75), corner(0.25, 1.75), corner(0.25, 0))).alias("rings"))
+    points = _table(spark, sf_dir, "customer").select("c_custkey", lat.alias("latitude"), lon.alias("longitude"))
+    return places.located(points, regions, "c_custkey", "region").select("c_custkey", "region")
 
 
 @query("""WITH v(ns, lo, hi, target) AS (VALUES ('1-URGENT', DATE '1993-01-01', DATE '1995-06-30', 7), ('2-HIGH', DATE '1992-01-01', DATE '1994-12-31', 8))
 SELECT o_orderkey, target FROM orders JOIN v ON ns = o_orderpriority AND CAST(o_orderdate AS DATE) BETWEEN lo AND hi""")
 def interval_override(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = spark.createDataFrame([("1-URGENT", "19930101", "19950630", 7), ("2-HIGH", "19920101", "19941231", 8)], "o_orderpriority string, lo string, hi string, target int")
-    day = F.col("o_orderdate").cast("date")
-    return _table(spark, sf_dir, "orders").join(F.broadcast(v), "o_orderpriority").filter(day.between(F.to_date("lo", "yyyyMMdd"), F.to_date("hi", "yyyyMMdd"))).select("o_orderkey", "target")
+    v = spark.createDataFrame([("prio", "1-URGENT", "t", 7, "19930101", "19950630"), ("prio", "2-HIGH", "t", 8, "19920101", "19941231")], "source_namespace string, source_id string, target_namespace string, target_id int, valid_from string, valid_to string")
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", F.lit("prio").alias("source_namespace"), F.col("o_orderpriority").alias("source_id"), F.col("o_orderdate").cast("date").alias("day"))
+    return places.overridden(rows, v, rows["day"]).filter("target_id is not null").select("o_orderkey", F.col("target_id").alias("target"))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CASE WHEN CAST(json_extract(props, '$.k') AS BIGINT) % 2 = 0 THEN 'stop' ELSE 'poi' END AS kind FROM events")

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from transitloom.functions.country import plate_code
 from transitloom.functions.text import query_variants
+from transitloom.operators import registry
+from transitloom.operators.places import enriched
+from transitloom.plans.tables import numbered
 
 from .files import GEODATA
 
@@ -43,6 +46,24 @@ def write_stops(stops: DataFrame, path: str) -> int:
     return int(seen.get["n"])
 
 
+def write_enriched(stops: DataFrame, regions: DataFrame, countries: DataFrame, path: str) -> int:
+    """Write the catalogue of clean stops(ord, ...), their region and country by polygons, one row of each identity (see ``places.enriched``)."""
+    return write_stops(enriched(clean_stops(stops), regions, countries), path)
+
+
+def write_registry(tables: dict[str, DataFrame], folder: str, edition: str, order: dict[str, list[str]]) -> None:
+    """Write a registry's ``stops``, ``posts`` and ``places``, if they are sound, as a new edition beside the old one.
+
+    Errors are raised, the first ten told, before anything is written.
+    """
+    lined = {name: rows if "line" in rows.columns else numbered(rows, order[name], "line").withColumn("line", F.col("line") + 2) for name, rows in tables.items()}
+    errors = registry.validate(lined["stops"], lined["posts"], lined["places"]).orderBy("table", "line").limit(10).collect()
+    if errors:
+        raise ValueError("; ".join(f"{e['table']}:{e['line']}: {e['error']}" for e in errors))
+    for name, rows in tables.items():
+        write_table(rows.drop("line"), f"{folder}/{edition}/{name}", order[name])
+
+
 def write_all(sources: dict[str, Callable[[], DataFrame]], folder: str) -> dict[str, int]:
     """Write every source to its own folder; all are tried before the failed ones are raised together."""
     written, failed = {}, {}

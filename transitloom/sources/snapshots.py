@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitloom.functions.text import normalize_text
+from transitloom.functions.text import bare_name, is_misplaced, normalize_text
 
 # Tags that hold names or places, and words that mark a stop's label.
 NAME_TAGS = ("name", "name:cs", "name:de", "name:pl", "name:sk", "official_name", "local_name", "short_name")
@@ -21,6 +21,7 @@ TOWN_FIELDS = ("city", "town", "village", "municipality", "hamlet")
 STOP_WORDS = ("zastav", "station", "stop", "haltestelle", "bahnhof", "przystanek", "stanica")
 
 ELEMENT = "id long, lat double, lon double, center struct<lat: double, lon: double>, tags map<string, string>"
+ELEMENT_FIELDS = "id: bigint, lat: double, lon: double, center: struct<lat: double, lon: double>, tags: map<string, string>"
 FEATURE = "attributes map<string, string>, geometry struct<x: double, y: double, points: array<array<double>>>"
 PLACE = "name string, display_name string, category string, type string, lat string, lon string, address map<string, string>, namedetails map<string, string>"
 ENTITIES = "items array<struct<name: string, label: string, position: struct<lat: double, lon: double>, regionalStructure: array<struct<name: string, type: string, isoCode: string>>>>"
@@ -159,5 +160,32 @@ def latest_edition(links: DataFrame) -> DataFrame:
     return links.agg(F.max(F.struct(F.to_timestamp("published", "d.M.yyyy H:m:s").alias("at"), "href"))["href"].alias("href"))
 
 
+def cleaned_points(features: DataFrame, fields: list[str]) -> DataFrame:
+    """Stops of one region's feature service: numbers before names and notes after them go, with blank names and its misplaced stop."""
+    rows = feature_points(features, fields).withColumn("name", bare_name(F.col("name")))
+    return rows.filter((F.col("name") != "") & ~is_misplaced(F.col("name"), F.col("latitude"), F.col("longitude")))
+
+
+def cached_answers(spark: SparkSession, folder: str, boxes: DataFrame, only_cached: bool = True) -> DataFrame:
+    """``boxes`` (box, ...) with their stored answer (``elements``): each file of ``folder`` holds a box and its answer.
+
+    A box without an answer is an error if only stored ones may be used, else its elements are null.
+    """
+    stored = spark.read.schema(f"box string, elements array<struct<{ELEMENT_FIELDS}>>").json(folder)
+    found = boxes.join(stored.dropDuplicates(["box"]), "box", "left")
+    if not only_cached:
+        return found
+    missing = F.raise_error(F.concat(F.lit("no stored answer for "), "box")).cast("boolean")
+    return found.filter(F.when(F.col("elements").isNotNull(), True).otherwise(missing))
+
+
 #: Stop readers by name, each a function of its snapshot.
-READERS: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (feature_points, feed_stops, bus_stops, board_stops, map_stops, station_stops, short_stops, group_stops, packed_stops, shape_points)}
+READERS: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (feature_points, feed_stops, bus_stops, board_stops, map_stops, station_stops, short_stops, group_stops, packed_stops, shape_points, cleaned_points)}
+
+
+def sources(snapshots: dict[str, tuple[str, Callable[[], DataFrame], dict]]) -> dict[str, Callable[[], DataFrame]]:
+    """Named sources for ``sinks.write_all``: of each name the reader (see ``READERS``), what gives its snapshot, and options."""
+    unknown = sorted({reader for reader, _, _ in snapshots.values()} - READERS.keys())
+    if unknown:
+        raise ValueError(f"unknown readers: {', '.join(unknown)}")
+    return {name: (lambda reader=reader, make=make, options=options: READERS[reader](make(), **options)) for name, (reader, make, options) in snapshots.items()}
