@@ -9,6 +9,7 @@ import struct
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,13 +110,12 @@ def shapefile_points(spark: SparkSession, path: str, name: str, encoding: str =
                     member = lambda end, z=z: z.read(next(n for n in z.namelist() if n.endswith(end)))
                     pairs = zip(_records(member(".dbf"), encoding), _first_points(member(".shp")), strict=True)
                     rows = [(r[name], x, y) for r, (x, y) in pairs if drop is None or r.get(drop[0]) != drop[1]]
-                yield pd.DataFrame(rows, columns=["name", "x", "y"])
+                table = pd.DataFrame(rows, columns=["name", "longitude", "latitude"])
+                if krovak:
+                    table["latitude"], table["longitude"] = from_krovak(table["longitude"].to_numpy(float), table["latitude"].to_numpy(float))
+                yield table[["name", "latitude", "longitude"]]
 
-    found = spark.read.format("binaryFile").load(path).select("content").mapInPandas(read, "name string, x double, y double")
-    if not krovak:
-        return found.select("name", F.col("y").alias("latitude"), F.col("x").alias("longitude"))
-    at = from_krovak(F.col("x"), F.col("y"))
-    return found.select("name", at["lat"].alias("latitude"), at["lon"].alias("longitude"))
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(read, "name string, latitude double, longitude double")
 
 
 # Fixed values of the oblique conic projection (EPSG 5514, axes to east and north): the Bessel ellipsoid; latitudes of
@@ -127,8 +127,8 @@ _SHIFT, _TURN, _PPM = (570.8, 85.7, 462.8), (4.998, 1.587, 5.261), 3.56
 _WGS_A, _WGS_INV_F = 6378137.0, 298.257223563
 
 
-def from_krovak(x: Column, y: Column, rounds: int = 4) -> Column:
-    """``struct(lat, lon)`` in WGS 84 of metres in EPSG 5514: the projection backwards, then the shift of the datum."""
+def from_krovak(x: np.ndarray, y: np.ndarray, rounds: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """Latitudes and longitudes in WGS 84 of metres in EPSG 5514: the projection backwards, then the shift of the datum."""
     f = 1 / _INV_F
     e2 = 2 * f - f * f
     e = math.sqrt(e2)
@@ -140,19 +140,19 @@ def from_krovak(x: Column, y: Column, rounds: int = 4) -> Column:
     n = math.sin(parallel)
     r0 = _SCALE * radius / math.tan(parallel)
     south, west = -y, -x
-    r, theta = F.hypot(south, west), F.atan2(west, south)
+    r, theta = np.hypot(south, west), np.arctan2(west, south)
     d = theta / math.sin(parallel)
-    t = 2 * (F.atan(F.pow(F.lit(r0) / r, 1 / n) * math.tan(math.pi / 4 + parallel / 2)) - math.pi / 4)
-    u = F.asin(math.cos(alpha) * F.sin(t) - math.sin(alpha) * F.cos(t) * F.cos(d))
-    v = F.asin(F.cos(t) * F.sin(d) / F.cos(u))
-    lon = F.lit(math.radians(_LON0)) - v / b
+    t = 2 * (np.arctan(np.power(r0 / r, 1 / n) * math.tan(math.pi / 4 + parallel / 2)) - math.pi / 4)
+    u = np.arcsin(math.cos(alpha) * np.sin(t) - math.sin(alpha) * np.cos(t) * np.cos(d))
+    v = np.arcsin(np.cos(t) * np.sin(d) / np.cos(u))
+    lon = math.radians(_LON0) - v / b
     lat = u
     for _ in range(rounds):
-        flat = F.pow((1 + e * F.sin(lat)) / (1 - e * F.sin(lat)), e / 2)
-        lat = 2 * (F.atan(t0 ** (-1 / b) * F.pow(F.tan(u / 2 + math.pi / 4), 1 / b) * flat) - math.pi / 4)
+        flat = np.power((1 + e * np.sin(lat)) / (1 - e * np.sin(lat)), e / 2)
+        lat = 2 * (np.arctan(t0 ** (-1 / b) * np.power(np.tan(u / 2 + math.pi / 4), 1 / b) * flat) - math.pi / 4)
     # to coordinates in space, through the shift, and back
-    high = _A / F.sqrt(1 - e2 * F.sin(lat) * F.sin(lat))
-    px, py, pz = high * F.cos(lat) * F.cos(lon), high * F.cos(lat) * F.sin(lon), high * (1 - e2) * F.sin(lat)
+    high = _A / np.sqrt(1 - e2 * np.sin(lat) * np.sin(lat))
+    px, py, pz = high * np.cos(lat) * np.cos(lon), high * np.cos(lat) * np.sin(lon), high * (1 - e2) * np.sin(lat)
     rx, ry, rz = (math.radians(s / 3600) for s in _TURN)
     m = 1 + _PPM * 1e-6
     qx = _SHIFT[0] + m * (px - rz * py + ry * pz)
@@ -160,9 +160,9 @@ def from_krovak(x: Column, y: Column, rounds: int = 4) -> Column:
     qz = _SHIFT[2] + m * (-ry * px + rx * py + pz)
     wf = 1 / _WGS_INV_F
     we2 = 2 * wf - wf * wf
-    flat_r = F.hypot(qx, qy)
-    wlat = F.atan2(qz, flat_r * (1 - we2))
+    flat_r = np.hypot(qx, qy)
+    wlat = np.arctan2(qz, flat_r * (1 - we2))
     for _ in range(rounds):
-        wn = _WGS_A / F.sqrt(1 - we2 * F.sin(wlat) * F.sin(wlat))
-        wlat = F.atan2(qz + we2 * wn * F.sin(wlat), flat_r)
-    return F.struct(F.degrees(wlat).alias("lat"), F.degrees(F.atan2(qy, qx)).alias("lon"))
+        wn = _WGS_A / np.sqrt(1 - we2 * np.sin(wlat) * np.sin(wlat))
+        wlat = np.arctan2(qz + we2 * wn * np.sin(wlat), flat_r)
+    return np.degrees(wlat), np.degrees(np.arctan2(qy, qx))

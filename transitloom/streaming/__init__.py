@@ -1 +1 @@
-
+"""Catalogues and events as streams."""
