@@ -365,3 +365,114 @@ def test_secrets_long_values_repeats_and_other_columns(spark):
     out = secrets.redact(df)
     assert out.columns == df.columns
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {0: "x password=[SECRET] y", 1: "a [SECRET] b", 2: texts[2], 3: "x password=[SECRET] y"}
+
+
+def brute_top_k(rows, queries, k):
+    docs = [(i, topk.tokenize(t or "")) for i, t in rows if i is not None]
+    n, average = len(docs), sum(len(w) for _, w in docs) / max(1, len(docs))
+    df = Counter(t for _, w in docs for t in set(w))
+    out = set()
+    for q, t in queries:
+        want = Counter(topk.tokenize(t or ""))
+        scored = []
+        for i, w in docs:
+            tf = Counter(w)
+            s = sum(m * np.log(1 + (n - df[x] + 0.5) / (df[x] + 0.5)) * tf[x] * (topk.K1 + 1) / (tf[x] + topk.K1 * (1 - topk.B + topk.B * len(w) / average)) for x, m in want.items() if tf[x])
+            if round(s, 6) > 0:
+                scored.append((-round(s, 6), i))
+        out |= {(q, i, r) for r, (_, i) in enumerate(sorted(scored)[:k], 1)}
+    return out
+
+
+def test_top_k_with_ties_repeats_and_names_as_ids(spark, empty):
+    rows = [*[(r["doc_id"], r["text"]) for r in spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string").collect()], (5, TEXTS[5]), (None, "alpha"), (90, "alpha beta"), (91, "alpha beta")]
+    docs = spark.createDataFrame([(i, t, 1.0, "x") for i, t in rows], "doc_id long, text string, score double, term string")
+    queries = [("a", "alpha beta beta"), ("b", PROSE[3]), ("c", "long"), ("d", ""), (None, "alpha")]
+    df = spark.createDataFrame(queries, "item_id string, text string")
+    got = {(r["item_id"], r["doc_id"], r["rank"]) for r in topk.top_k(docs, df, k=4).collect()}
+    assert got == brute_top_k(rows, [q for q in queries if q[0]], 4)
+    assert topk.top_k(empty, df).count() == 0 and topk.top_k(docs, df.limit(0)).count() == 0
+
+
+def test_top_k_scores_only_blocks_whose_bounds_reach():
+    r = np.random.default_rng(5)
+    n, average = 40_000, 100.0
+    rows = {}
+    for t, share in ((b"rare", 0.002), (b"mid", 0.05), (b"often", 0.6)):
+        order = np.flatnonzero(r.random(n) < share)
+        tf, dl = r.integers(1, 4, len(order)), r.integers(60, 140, len(order))
+        block = order >> topk.BLOCK_BITS
+        at = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        rows[t] = {"ord": order, "tf": tf, "dl": dl, "block": block[at], "block_tf": np.maximum.reduceat(tf, at), "block_dl": np.minimum.reduceat(dl, at)}
+    idf = {t: float(np.log(1 + n / len(v["ord"]))) for t, v in rows.items()}
+    seen: Counter = Counter()
+    found = topk.search_shard(rows, np.arange(n), Counter(list(rows)), idf, average, 10, seen)
+    total = np.zeros(n)
+    for t, v in rows.items():
+        total[v["ord"]] += idf[t] * topk.bm25(v["tf"], v["dl"], average)
+    total = np.round(total, topk.DECIMALS)
+    assert found == [(float(total[i]), int(i)) for i in np.lexsort((np.arange(n), -total))[:10]]
+    assert seen["scored"] < 0.5 * seen["blocks"]
+
+
+def test_lm_words_cost_what_a_plain_mixer_says(spark):
+    """Counts by dictionary, logits, gated weights and refinement one decision at a time."""
+    words = [b"the", b"then", b"theory", b"a", "čas".encode(), lmscore.END, b"averylongwordindeed"]
+    counts = {(w, k): (i * 7 + k) % 5 for i, w in enumerate(words) for k in (0, 3)}
+    totals = spark.createDataFrame([(bytearray(w), [counts.get((w, k), 0) for k in range(lmscore.CLASSES)]) for w in words], "word binary, n array<long>")
+    model = lmscore.fit(lmscore._strings(totals))
+    seen: Counter = Counter()
+
+    def decisions(word, k):
+        text = lmscore._PAD + lmscore.spelled(word)
+        key, _ = lmscore.grams([word])
+        for at, one in enumerate(lmscore.with_class(key, k)):
+            byte = text[at + lmscore.SEEN]
+            for bit in range(7, -1, -1):
+                node = (byte | 256) >> (bit + 1)
+                shared = lmscore.context_slots(np.array([one >> np.uint64(8)]), model.bits)
+                yield node, byte >> bit & 1, bit, [int(s[0]) for s in lmscore.slots(shared, slice(None), np.array([node]))]
+
+    for (w, k), n in counts.items():
+        for node, y, bit, at in decisions(w, k):
+            for s in at:
+                seen[s, y] += n
+    steps = lmscore._STEPS
+    down = lambda v: float(steps[np.searchsorted(steps, v, "right") - 1])
+    for w, k in [(b"the", 0), (b"then", 3), (b"thus", 1), (lmscore.END, 0), (b"averylongwordindeed", 3)]:
+        bits = 0.0
+        for node, y, bit, at in decisions(w, k):
+            x, gate = [], 0
+            for c, s in enumerate(at):
+                zero, one = down(seen[s, 0]), down(seen[s, 1])
+                x.append(np.log((one + lmscore.PRIOR) / (zero + lmscore.PRIOR)))
+                level = sum(zero + one >= v for v in lmscore.LEVELS)
+                gate = c * lmscore.CONF + level - 1 if level else gate
+            logit = float(np.dot([*x, 1.0], model.weights[gate * 8 + bit]))
+            place = min(max((logit + 8) * 2, 0), lmscore.BUCKETS - 1.001)
+            low = int(place)
+            table = (1 - place + low) * model.refine[node, low] + (place - low) * model.refine[node, low + 1]
+            p = min(max(0.5 / (1 + np.exp(-logit)) + 0.5 * table, 1e-6), 1 - 1e-6)
+            bits -= np.log2(p if y else 1 - p)
+        assert model.word_bits([w], np.array([k]))[0] == pytest.approx(bits, rel=1e-4), w
+
+
+def test_lm_scores_by_hand_and_whatever_the_partitions(spark):
+    import math
+    from zlib import crc32
+
+    from pyspark.sql import functions as F
+
+    rows = [(i, rng.choice(TEXTS)) for i in range(60)] + [(3, "again again"), (3, "again again"), (None, "no id")]
+    docs = spark.createDataFrame([(i, t, 0.5, "w") for i, t in rows], "doc_id long, text string, score double, word string")
+    one = lmscore.score(docs.coalesce(1)).collect()
+    many = lmscore.score(docs.repartition(9, F.rand(4))).collect()
+    by = lambda x: sorted(map(repr, x))
+    assert by(one) == by(many)
+    tokens = lambda t: [*(t or "").encode().lower().split(), lmscore.END]
+    held = lambda i: i is not None and crc32(str(i).encode()) % 7 == 2
+    c = Counter(x for i, t in rows if not held(i) for x in tokens(t))
+    n, v = c.total(), len(c)
+    want = Counter((i, held(i), len(tokens(t)), sum(c[x] > 0 for x in tokens(t)), n, round(sum(math.log10((c[x] + 1) / (n + v + 1)) for x in tokens(t)), 6)) for i, t in rows)
+    assert Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in one) == want
+    assert all(r["score"] < 0 and r["bits_per_byte"] > 0 for r in one)

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import materialize, text_of
 
@@ -96,11 +97,11 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 class Postings:
-    """A term's postings in a shard for one query: cursor over blocks, and upper bounds."""
+    """A term's postings in a shard for one query: cursor over blocks, and upper bounds; a block's postings are scored when it is reached."""
 
     def __init__(self, row: dict, weight: float, average: float) -> None:
         self.order, self.block = row["ord"], row["block"]
-        self.score = weight * bm25(row["tf"], row["dl"], average)
+        self.tf, self.dl, self.weight, self.average = row["tf"], row["dl"], weight, average
         self.bound = weight * bm25(row["block_tf"], row["block_dl"], average)
         self.most = float(self.bound.max())
         self.starts = np.searchsorted(self.order >> BLOCK_BITS, self.block)
@@ -109,6 +110,12 @@ class Postings:
     def current(self) -> int:
         return int(self.block[self.at]) if self.at < len(self.block) else 1 << 40
 
+    def add_scores(self, scores: np.ndarray) -> None:
+        """Add the current block's scores to those of its documents."""
+        a = int(self.starts[self.at])
+        b = int(self.starts[self.at + 1]) if self.at + 1 < len(self.starts) else len(self.order)
+        scores[self.order[a:b] & ((1 << BLOCK_BITS) - 1)] += self.weight * bm25(self.tf[a:b], self.dl[a:b], self.average)
+
     def seek(self, block: int) -> None:
         self.at += int(np.searchsorted(self.block[self.at :], block))
 
@@ -117,15 +124,18 @@ def bm25(tf: np.ndarray, dl: np.ndarray, average: float) -> np.ndarray:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / average))
 
 
-def search_shard(rows: dict[bytes, dict], ids: np.ndarray, query: Counter, idf: dict[bytes, float], average: float, k: int = K) -> list[tuple[float, int]]:
+def search_shard(rows: dict[bytes, dict], ids: np.ndarray, query: Counter, idf: dict[bytes, float], average: float, k: int = K, seen: Counter | None = None) -> list[tuple[float, int]]:
     """The ``k`` best ``(score, id)`` of a shard by block-max WAND; equal rounded scores go by the smaller id.
 
     Lists are kept by their current block. The pivot is the first block at which
     the lists' largest scores could reach the k-th best so far; its block bounds
     are summed next; only if they too could reach it is the block scored. Bounds
-    are compared with a margin for rounding, so ties are never lost.
+    are compared with a margin for rounding, so ties are never lost. ``seen``
+    counts the blocks scored and the postings' blocks in all.
     """
     lists = [Postings(rows[t], n * idf[t], average) for t, n in sorted(query.items()) if t in rows]
+    if seen is not None:
+        seen["blocks"] += sum(len(p.block) for p in lists)
     best: list[tuple[float, int]] = []
     margin = 10.0**-DECIMALS
     while lists:
@@ -146,9 +156,9 @@ def search_shard(rows: dict[bytes, dict], ids: np.ndarray, query: Counter, idf:
         if sum(float(p.bound[p.at]) for p in here) >= least:
             scores = np.zeros(1 << BLOCK_BITS)
             for p in here:
-                a = int(p.starts[p.at])
-                b = int(p.starts[p.at + 1]) if p.at + 1 < len(p.starts) else len(p.order)
-                scores[p.order[a:b] - (pivot << BLOCK_BITS)] += p.score[a:b]
+                p.add_scores(scores)
+            if seen is not None:
+                seen["scored"] += len(here)
             scores = np.round(scores, DECIMALS)
             good = np.flatnonzero((scores > 0) & (scores >= least))
             best += [(float(scores[i]), int(ids[(pivot << BLOCK_BITS) + i])) for i in good]
@@ -174,7 +184,7 @@ def _searcher(shared, pa_type: pa.DataType, average: float, k: int):
                 found[term] = {c: table.column(c)[i].values.to_numpy() for c in arrays}
         hits = [(q, d, s) for q, c in queries_ for s, d in search_shard(found, ids, c, idf_, average, k)]
         shard = table.column("shard")[0].as_py()
-        return pa.table({"q": pa.array([h[0] for h in hits]).cast(pa_type), "d": pa.array([h[1] for h in hits], pa.int64()), "s": pa.array([h[2] for h in hits], pa.float64()), "salt": pa.array([(shard ^ shard >> 32) % 64] * len(hits), pa.int32())})
+        return pa.table({"q": pa.array([h[0] for h in hits], pa_type), "d": pa.array([h[1] for h in hits], pa.int64()), "s": pa.array([h[2] for h in hits], pa.float64()), "salt": pa.array([(shard ^ shard >> 32) % 64] * len(hits), pa.int32())})
 
     return run
 
@@ -189,7 +199,7 @@ def search(index: DataFrame, queries: DataFrame, query_col: str = "item_id", que
     query_type = queries.schema[query_col].dataType.simpleString()
     rows = queries.select(F.col(query_col).alias("q"), F.col(query_text_col).alias("t")).filter("t is not null and q is not null")
     total = rows.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
-    pa_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[query_type]
+    pa_type = to_arrow_type(queries.schema[query_col].dataType)
     slabs = max(1, -(-int(total) // SLAB_CHARS))
     whole = index.filter(F.col("term") == F.lit(_NONE)).agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n"), F.coalesce(F.sum("total_dl"), F.lit(0)).alias("dl")).first()
     n_docs, average = int(whole["n"]), max(float(whole["dl"]) / max(1, whole["n"]), 1e-9)
@@ -212,7 +222,11 @@ def search(index: DataFrame, queries: DataFrame, query_col: str = "item_id", que
 
 
 def top_k(docs: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_col: str = "text", query_col: str = "item_id", query_text_col: str = "text", k: int = K) -> DataFrame:
-    """Index every row of ``docs`` (null texts as empty, rows with a null id left out) and search it for every query."""
+    """Index every row of ``docs`` (null texts as empty, rows with a null id left out) and search it for every query.
+
+    Whole texts are indexed, however long. Equal scores go by the smaller id, and
+    repeated rows each take a rank. Without documents or queries there are no rows.
+    """
     return search(materialize(build_index(docs, id_col, text_col), "bm25-index"), queries, query_col, query_text_col, id_col, k)
 
 
