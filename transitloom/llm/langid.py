@@ -25,6 +25,8 @@ from .common import fold, text_of
 ORDER = 3
 #: At most about so many training texts of a language are read; each of them whole.
 TRAIN_TEXTS = 400
+#: Bytes of a text above which it is not learned from (it is still scored whole).
+TRAIN_BYTES = 1 << 16
 #: Bytes that a worker scores at once.
 CHUNK = 1 << 21
 
@@ -153,8 +155,12 @@ def code_lengths(trees: ContextTrees, data: np.ndarray, starts: np.ndarray) -> n
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_texts: int = TRAIN_TEXTS, order: int = ORDER) -> ContextTrees:
-    """Train on whole texts of about ``train_texts`` rows of each language, chosen by a hash of the id."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null and text is not null")
+    """Train on whole texts of about ``train_texts`` rows of each language, chosen by a hash of the id and of the text.
+
+    Only texts of at most ``TRAIN_BYTES`` are learned from, so what reaches the
+    driver is bounded; a language without such texts is not learned.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null and text is not null").filter(F.octet_length("text") <= TRAIN_BYTES)
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return train({})
@@ -194,9 +200,9 @@ def predict(docs: DataFrame, trees: ContextTrees, id_col: str = "doc_id", text_c
                 total = np.zeros((len(raws), len(model.langs)))
                 if len(raws) == 1 and lengths[0] > CHUNK:
                     # a long text goes in slices, each after the bytes before it, which are context but not counted
-                    raw = raws[0]
-                    for at in range(0, len(raw), CHUNK):
-                        own = (pad + raw)[at : at + order + CHUNK]
+                    raw = memoryview(pad + raws[0])
+                    for at in range(0, len(raw) - order, CHUNK):
+                        own = raw[at : at + order + CHUNK]
                         total += code_lengths(model, np.frombuffer(own, np.uint8), np.array([0]))
                 else:
                     total = code_lengths(model, np.frombuffer(b"".join(pad + r for r in raws), np.uint8), starts)
