@@ -397,3 +397,19 @@ def test_named_sources_and_stored_answers(spark, tmp_path):
 def test_boxes(spark):
     assert one(spark, geo.box_lon_first(F.lit(60.0), F.lit(10.0), 0.2)) == "9.600000,59.800000,10.400000,60.200000"
     assert one(spark, geo.box(F.lit(80.0), F.lit(10.0), 0.35)) == "79.650000,9.000000,80.350000,11.000000"
+
+
+def test_review_of_assessed_candidates_and_other_outputs(spark, tmp_path):
+    schema = "stop int, ord int, name string, names array<string>, query string, label string, lat double, lon double, distance double, c_municipality string, c_country string, kind string, source string, rank int, score double, accepted boolean, reason string"
+    rows = [(2, 0, "n", ["a", "b"], "q", "l", 50.0, 15.0, 12.345, "m", "CZ", "stop", "s", 0, 0.12345678, True, "not_estimated"), (1, 0, "n", ["a"], "q", "l", 50.0, 15.0, None, "m", "CZ", "poi", "s", 1, 0.5, False, "not_public_transport_stop")]
+    out = sinks.candidate_review(spark.createDataFrame(rows, schema)).collect()
+    assert len(out[0]) == 16 and [(x["stop_id"], x["rejection_reason"], x["distance_from_estimate_metres"], x["name_score"]) for x in out] == [(1, "not_public_transport_stop", None, 0.5), (2, "", 12.3, 0.123457)]
+    assert out[1]["candidate_names"] == "a | b"
+    sinks.write_table(spark.createDataFrame([(2, ["x"]), (1, [])], "k int, v array<string>"), str(tmp_path / "t"), ["k"])
+    assert [tuple(x) for x in spark.read.csv(str(tmp_path / "t"), header=True, escape='"').collect()] == [("1", "[]"), ("2", '["x"]')]
+    (tmp_path / "stops.txt").write_text("stop_id,stop_name\n1,\"a, b\"\n2,\n")
+    from transitloom.sources import files
+
+    assert [tuple(x) for x in files.gtfs(spark, str(tmp_path), "stops").collect()] == [("1", "a, b"), ("2", "")]
+    assert registry.table_kind(spark.createDataFrame([("1",)], "post_key string")) == "posts"
+    assert one(spark, geo.preference_radius(F.array(F.lit(1.0), F.lit(3.0)))) == 9500 and one(spark, geo.preference_radius(F.array().cast("array<double>"))) == 2000

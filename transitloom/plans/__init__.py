@@ -1 +1 @@
-"""Plans that put operators together: resolving, auditing, the work list, the enriched catalogue."""
+"""What longer plans share: written tables between their steps, and numbering of rows."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from transitloom.functions import country, geo, text
 from transitloom.operators import audit, catalog, match, places, policy, registry, resolve, rules, sequence
-from transitloom.sources import snapshots
+from transitloom.sources import files, snapshots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -419,10 +419,10 @@ def promoted_towns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.filter("is_new").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT substr(lpad(CAST(p_partkey * 7 AS VARCHAR), 6, '0'), 1, 4) AS code, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1")
+@query("""WITH c AS (SELECT lpad(CAST(p_partkey * 7 % 30011 AS VARCHAR), 6, '0') AS code FROM part)
+SELECT 'identifier' AS kind, code AS value, count(*) AS n FROM c GROUP BY 2 HAVING count(*) > 1 UNION ALL SELECT 'beginning', substr(code, 1, 5), count(*) FROM c GROUP BY 2 HAVING count(*) > 1""")
 def duplicate_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = F.substring(F.lpad((F.col("p_partkey") * 7).cast("string"), 6, "0"), 1, 4)
-    return _table(spark, sf_dir, "part").groupBy(code.alias("code")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return files.code_collisions(_table(spark, sf_dir, "part").select(F.lpad((F.col("p_partkey") * 7 % 30011).cast("string"), 6, "0").alias("code")))
 
 
 @query("""WITH p AS (SELECT c_custkey, 48.5 + (c_custkey % 251) * 0.01::DOUBLE AS la, 12.0 + (c_custkey % 691) * 0.01::DOUBLE AS lo FROM customer),
@@ -446,10 +446,16 @@ def interval_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.overridden(rows, v, rows["day"]).filter("target_id is not null").select("o_orderkey", F.col("target_id").alias("target"))
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CASE WHEN CAST(json_extract(props, '$.k') AS BIGINT) % 2 = 0 THEN 'stop' ELSE 'poi' END AS kind FROM events")
+@query("""SELECT event_id AS id, CASE WHEN user_id % 5 = 0 THEN '' ELSE event_type || '|' END || 'x|u' || user_id AS names, round(50 + (user_id % 97) * 0.01::DOUBLE, 4) AS latitude, CASE WHEN user_id % 3 = 0 THEN 'City' ELSE 'own' END AS municipality,
+CASE WHEN user_id % 4 = 0 THEN 'DE' ELSE 'CZ' END AS country, 'stop' AS kind FROM events""")
 def element_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.from_json("props", "k long")["k"]
-    return _table(spark, sf_dir, "events").select("event_id", k.alias("k"), F.when(k % 2 == 0, "stop").otherwise("poi").alias("kind"))
+    u = F.col("user_id")
+    at = F.struct((F.lit(50.0) + u % 97 * F.lit(0.01)).alias("lat"), F.lit(15.0).alias("lon"))
+    pairs = F.array(F.struct(F.lit("name"), F.when(u % 5 == 0, "").otherwise(F.col("event_type"))), F.struct(F.lit("alt_name"), F.concat(F.lit("x; u"), u.cast("string"))), F.struct(F.lit("addr:city"), F.when(u % 3 == 0, "City").otherwise("")), F.struct(F.lit("addr:country"), F.when(u % 4 == 0, "DE")))
+    whole = u % 7 == 0
+    elements = _table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.when(~whole, at["lat"]).alias("lat"), F.when(~whole, at["lon"]).alias("lon"), F.when(whole, at).alias("center"), F.map_from_entries(pairs).alias("tags"))
+    found = snapshots.map_elements(elements, F.lit("own"), F.lit("CZ"))
+    return found.select("id", F.array_join("names", "|").alias("names"), F.round("latitude", 4).alias("latitude"), "municipality", "country", "kind")
 
 
 # ---- snapshots of services: answers are made from table rows as text and read like stored ones

@@ -95,9 +95,14 @@ def write_results(found: DataFrame, left: DataFrame, accepted_path: str, review_
     _write(review(left), review_path, True)
 
 
-def assessed(rows: DataFrame) -> DataFrame:
-    """Assessed candidates: scores to six digits, distances to one, no reason for feasible ones."""
-    return rows.withColumns({"score": F.round("score", 6), "distance": F.round("distance", 1), "reason": F.when(F.col("accepted"), "").otherwise(F.col("reason"))})
+def candidate_review(assessed: DataFrame) -> DataFrame:
+    """The sixteen columns by which assessed candidates (see ``resolve.assess``, with query, label and source) are reviewed:
+    scores to six digits, distances to one, no reason for feasible ones."""
+    return assessed.orderBy("stop", "ord").select(
+        F.col("stop").alias("stop_id"), F.col("name").alias("query_name"), F.array_join("names", " | ").alias("candidate_names"), "query", "label", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
+        F.round("distance", 1).alias("distance_from_estimate_metres"), F.col("c_municipality").alias("municipality"), F.col("c_country").alias("country"), "kind", "source", "rank",
+        F.round("score", 6).alias("name_score"), F.col("accepted").alias("route_feasible"), F.when(F.col("accepted"), "").otherwise(F.col("reason")).alias("rejection_reason"),
+    )
 
 
 def write_table(rows: DataFrame, path: str, order: list[str]) -> None:
