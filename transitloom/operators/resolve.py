@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from transitloom.functions.country import home_or
 from transitloom.functions.geo import distance_metres, travel_budget
 from transitloom.functions.text import components, municipality_text, normalize_text, stop_identities, suffix_identities, token_variants
+from transitloom.plans.tables import written
 
 from . import match
 
@@ -26,20 +27,31 @@ def country_matches(expected: Column, actual: Column) -> Column:
     return home_or(expected) == home_or(actual)
 
 
+def _blank(c: Column) -> Column:
+    return F.coalesce(c, F.lit(""))
+
+
+def _towns(name: Column) -> Column:
+    return F.transform(components(_blank(name)), municipality_text)
+
+
+def _expected(name: Column, municipality: Column) -> Column:
+    return municipality_text(F.coalesce(F.nullif(_blank(municipality), F.lit("")), F.get(F.split(_blank(name), ","), F.lit(0))))
+
+
+def _in_town(expected: Column, towns: Column, region: Column, actual: Column, c_towns: Column, c_region: Column) -> Column:
+    same_region = (_blank(region) != "") & (_blank(c_region) == _blank(region))
+    mentions = F.array_contains(towns, actual) | F.array_contains(c_towns, expected)
+    return F.when(expected == "", True).when(actual == "", same_region).otherwise((actual == expected) | mentions)
+
+
 def municipality_matches(name: Column, municipality: Column, region: Column, names: Column, c_municipality: Column, c_region: Column) -> Column:
     """Does the candidate lie in the stop's municipality, as far as either tells one?
 
     Without an expected one any does; without the candidate's own the regions
     decide; else they are equal, or either is a part of the other's name.
     """
-    blank = lambda c: F.coalesce(c, F.lit(""))
-    first = F.get(F.split(blank(name), ","), F.lit(0))
-    expected = municipality_text(F.coalesce(F.nullif(blank(municipality), F.lit("")), first))
-    actual = municipality_text(blank(c_municipality))
-    parts = lambda c: F.transform(components(blank(c)), municipality_text)
-    mentions = F.array_contains(parts(name), actual) | F.array_contains(F.flatten(F.transform(names, parts)), expected)
-    same_region = (blank(region) != "") & (blank(c_region) == blank(region))
-    return F.when(expected == "", True).when(actual == "", same_region).otherwise((actual == expected) | mentions)
+    return _in_town(_expected(name, municipality), _towns(name), region, municipality_text(_blank(c_municipality)), F.flatten(F.transform(names, _towns)), c_region)
 
 
 def candidate_identities(names: Column) -> Column:
@@ -57,6 +69,20 @@ def exact_name(identities: Column, candidate: Column) -> Column:
     return F.arrays_overlap(identities, candidate)
 
 
+def _anchors(contexts: Column) -> Column:
+    none = F.array().cast("array<struct<minutes:double,lat:double,lon:double>>")
+    return F.coalesce(F.flatten(F.transform(contexts, lambda c: F.array_compact(F.array(c["previous"], c["following"])))), none)
+
+
+def _way(estimated: Column, distance: Column, anchors: Column, lat: Column, lon: Column, in_town: Column) -> Column:
+    far = F.exists(anchors, lambda a: (a["minutes"] < 0) | (distance_metres(lat, lon, a["lat"], a["lon"]) > travel_budget(a["minutes"])))
+    near = F.coalesce(distance <= NEAR_ESTIMATE, F.lit(False)) & in_town
+    return (
+        F.when(~estimated, "not_estimated").when(far, "route_time_impossible").when(F.size(anchors) > 0, "route_time_feasible")
+        .when(near, "estimate_within_2km").otherwise("no_route_context_or_nearby_match")
+    )
+
+
 def route_feasibility(estimated: Column, own_lat: Column, own_lon: Column, contexts: Column, lat: Column, lon: Column, in_town: Column) -> Column:
     """``struct(ok, reason, distance)``: could the routes that call at a stop of estimated place call at the candidate's?
 
@@ -65,15 +91,46 @@ def route_feasibility(estimated: Column, own_lat: Column, own_lon: Column, conte
     be near the estimate and in the town.
     """
     distance = distance_metres(own_lat, own_lon, lat, lon)
-    none = F.array().cast("array<struct<minutes:double,lat:double,lon:double>>")
-    anchors = F.coalesce(F.flatten(F.transform(contexts, lambda c: F.array_compact(F.array(c["previous"], c["following"])))), none)
-    far = F.exists(anchors, lambda a: (a["minutes"] < 0) | (distance_metres(lat, lon, a["lat"], a["lon"]) > travel_budget(a["minutes"])))
-    near = F.coalesce(distance <= NEAR_ESTIMATE, F.lit(False)) & in_town
+    reason = _way(estimated, distance, _anchors(contexts), lat, lon, in_town)
+    return F.struct((~reason.isin(*_NO_WAY)).alias("ok"), reason.alias("reason"), distance.alias("distance"))
+
+
+_NO_WAY = ("route_time_impossible", "no_route_context_or_nearby_match")
+
+
+def _of_stops(rows: DataFrame) -> DataFrame:
+    """What a stop's name tells by itself."""
+    name, town = F.col("name"), F.col("municipality")
+    rows = rows.withColumns({"targets": stop_identities(name, town), "expected__": _expected(name, town), "towns__": _towns(name)})
+    return rows.withColumn("known_as__", token_variants(F.col("targets")))
+
+
+def _of_candidates(rows: DataFrame) -> DataFrame:
+    """What a candidate's names tell by themselves."""
+    names = F.col("names")
+    return rows.withColumns({"normal_names": F.transform(names, normalize_text), "actual__": municipality_text(_blank(F.col("c_municipality"))), "c_towns__": F.flatten(F.transform(names, _towns)), "c_known_as__": candidate_identities(names)})
+
+
+def _compared(p: DataFrame, region: str, c_region: str) -> DataFrame:
+    """In_town, exact and score of ``p``, which has what either side's names tell."""
+    town = _in_town(*map(F.col, ("expected__", "towns__", region, "actual__", "c_towns__", c_region)))
+    p = p.withColumns({"in_town": town, "exact": exact_name(F.col("known_as__"), F.col("c_known_as__"))})
+    return match.with_scores(p, "targets", "normal_names", "score").drop("expected__", "towns__", "known_as__", "actual__", "c_towns__", "c_known_as__")
+
+
+def _judged(p: DataFrame) -> DataFrame:
+    """Accepted, reason and distance of compared pairs with land__, c_land__ and anchors__."""
+    p = p.withColumn("distance", distance_metres(*map(F.col, ("own_lat", "own_lon", "lat", "lon"))))
+    p = p.withColumn("way__", _way(*map(F.col, ("estimated", "distance", "anchors__", "lat", "lon", "in_town"))))
+    way, alike = F.col("way__"), F.coalesce((F.col("distance") <= NEAR_ALIAS) & (F.col("score") >= ALIAS_SCORE), F.lit(False))
     reason = (
-        F.when(~estimated, "not_estimated").when(far, "route_time_impossible").when(F.size(anchors) > 0, "route_time_feasible")
-        .when(near, "estimate_within_2km").otherwise("no_route_context_or_nearby_match")
+        F.when(F.col("kind") != "stop", "not_public_transport_stop").when(F.col("land__") != F.col("c_land__"), "wrong_country")
+        .when(way.isin(*_NO_WAY), way).when(F.col("in_town"), way)
+        .when(F.col("estimated") & F.col("exact"), "route_exact_locality_alias").when(F.col("estimated") & alike, "route_fuzzy_locality_alias").otherwise("municipality_mismatch")
     )
-    return F.struct((~reason.isin("route_time_impossible", "no_route_context_or_nearby_match")).alias("ok"), reason.alias("reason"), distance.alias("distance"))
+    left_out = ("not_public_transport_stop", "wrong_country", "municipality_mismatch", *_NO_WAY)
+    measured = F.when(~F.col("reason").isin("not_public_transport_stop", "wrong_country"), F.col("distance"))
+    return p.withColumn("reason", reason).withColumns({"accepted": ~F.col("reason").isin(*left_out), "distance": measured}).drop("way__", "anchors__", "land__", "c_land__")
 
 
 def assess(pairs: DataFrame) -> DataFrame:
@@ -81,27 +138,10 @@ def assess(pairs: DataFrame) -> DataFrame:
 
     A candidate must be a stop, of the country, feasible by route and in the town;
     for a stop of estimated place the same name, or a like one nearby, stands in
-    for the town. Names are compared once for each distinct pair.
+    for the town. Names are scored once for each distinct pair.
     """
-    p = pairs.withColumns(
-        {
-            "targets": stop_identities(F.col("name"), F.col("municipality")),
-            "normal_names": F.transform("names", normalize_text),
-            "in_town": municipality_matches(*map(F.col, ("name", "municipality", "region", "names", "c_municipality", "c_region"))),
-        }
-    )
-    p = p.withColumn("exact", exact_name(token_variants(F.col("targets")), candidate_identities(F.col("names"))))
-    p = match.with_scores(p, "targets", "normal_names", "score")
-    p = p.withColumn("route", route_feasibility(*map(F.col, ("estimated", "own_lat", "own_lon", "contexts", "lat", "lon", "in_town"))))
-    alike = F.coalesce((F.col("route.distance") <= NEAR_ALIAS) & (F.col("score") >= ALIAS_SCORE), F.lit(False))
-    reason = (
-        F.when(F.col("kind") != "stop", "not_public_transport_stop").when(~country_matches(F.col("country"), F.col("c_country")), "wrong_country")
-        .when(~F.col("route.ok"), F.col("route.reason")).when(F.col("in_town"), F.col("route.reason"))
-        .when(F.col("estimated") & F.col("exact"), "route_exact_locality_alias").when(F.col("estimated") & alike, "route_fuzzy_locality_alias").otherwise("municipality_mismatch")
-    )
-    left_out = ("not_public_transport_stop", "wrong_country", "municipality_mismatch", "route_time_impossible", "no_route_context_or_nearby_match")
-    measured = F.when(~F.col("reason").isin("not_public_transport_stop", "wrong_country"), F.col("route.distance"))
-    return p.withColumn("reason", reason).withColumns({"accepted": ~F.col("reason").isin(*left_out), "distance": measured}).drop("route")
+    told = {"anchors__": _anchors(F.col("contexts")), "land__": home_or(F.col("country")), "c_land__": home_or(F.col("c_country"))}
+    return _judged(_compared(_of_candidates(_of_stops(pairs)), "region", "c_region").withColumns(told))
 
 
 def exact_candidates(assessed: DataFrame) -> DataFrame:
@@ -117,7 +157,8 @@ def resolve(stops: DataFrame, assessed: DataFrame, fuzzy: float | None = None) -
     has a reason: no candidate, none plausible, or none that stands out.
     """
     plausible = assessed.filter("accepted")
-    exact = match.exact_choice(exact_candidates(assessed)).filter("lat is not null").select("stop", F.struct("lat", "lon").alias("x"))
+    # no filter of the places: it would work the clusters out again for each of its conditions
+    exact = match.exact_choice(exact_candidates(assessed)).select("stop", F.when(F.col("lat").isNotNull(), F.struct("lat", "lon")).alias("x"))
     near = match.route_supported(plausible.filter("estimated"), scored=True).select("stop", F.struct("lat", "lon").alias("r"))
     counts = assessed.groupBy("stop").agg(F.count(F.lit(1)).alias("candidates"), F.count_if("accepted").alias("plausible"))
     out = stops.select("stop").distinct().join(counts, "stop", "left").join(exact, "stop", "left").join(near, "stop", "left")
@@ -133,12 +174,56 @@ def resolve(stops: DataFrame, assessed: DataFrame, fuzzy: float | None = None) -
     return out.select("stop", at["lat"].alias("lat"), at["lon"].alias("lon"), by.alias("by"), reason.alias("reason"), n.alias("candidates"))
 
 
+def _keyed(stops: DataFrame, candidates: DataFrame, country: str) -> tuple[DataFrame, DataFrame]:
+    key = lambda town, land, region: {"k_land": home_or(F.col(land)), "k_town": normalize_text(_blank(F.col(town))), "k_region": _blank(F.col(region))}
+    return stops.withColumns(key("municipality", "country", "region")), candidates.withColumns(key("c_municipality", country, "c_region"))
+
+
+_KEYS = ("k_land", "k_town", "k_region")
+
+
 def candidates_of(stops: DataFrame, candidates: DataFrame) -> DataFrame:
     """``pairs``: each stop with the candidates of its municipality, by country, normalized municipality and region."""
-    key = lambda town, land, region: [home_or(F.col(land)).alias("k_land"), normalize_text(F.coalesce(F.col(town), F.lit(""))).alias("k_town"), F.coalesce(F.col(region), F.lit("")).alias("k_region")]
-    left = stops.select("*", *key("municipality", "country", "region"))
-    right = candidates.select("*", *key("c_municipality", "c_country", "c_region"))
-    return left.join(right, ["k_land", "k_town", "k_region"]).drop("k_land", "k_town", "k_region")
+    left, right = _keyed(stops, candidates, "c_country")
+    return left.join(right, [*_KEYS]).drop(*_KEYS)
+
+
+def assess_candidates(stops: DataFrame, candidates: DataFrame, country: str = "c_country") -> DataFrame:
+    """``assess(candidates_of(stops, candidates))``; ``country``: the candidates' column by which countries meet.
+
+    What names tell is worked out once for each distinct name of a municipality, and names are
+    compared once for each distinct pair there; stops and candidates then meet on these pairs.
+    """
+    left, right = _keyed(stops, candidates, country)
+    left = left.withColumns({"s_key__": F.struct(*_KEYS, "name", "municipality"), "anchors__": _anchors(F.col("contexts")), "land__": home_or(F.col("country"))})
+    right = right.withColumns({"c_key__": F.struct(*_KEYS, "names", "c_municipality"), "c_land__": home_or(F.col("c_country"))})
+    s, c = left.select(*_KEYS, "s_key__", "name", "municipality").distinct(), right.select(*_KEYS, "c_key__", "names", "c_municipality").distinct()
+    both = _compared(_of_stops(s).join(_of_candidates(c), [*_KEYS]), "k_region", "k_region").select("s_key__", "c_key__", "targets", "normal_names", "in_town", "exact", "score")
+    # by sorted ranges of keys: all tasks share the pairs, however small the tables are
+    met = left.drop(*_KEYS).join(both, "s_key__").hint("merge").join(right.drop(*_KEYS), "c_key__")
+    return _judged(met).drop("s_key__", "c_key__")
+
+
+def resolve_candidates(stops: DataFrame, candidates: DataFrame, fuzzy: float | None = None, country: str = "c_country") -> DataFrame:
+    """``resolve`` of all stops among the candidates of their municipality.
+
+    Where a stop's place is known its routes and place decide nothing, so of such stops with
+    one name, municipality, region and country one is resolved, and all share its result.
+    """
+    name = ("name", "municipality", "region", "country")
+    once = stops.groupBy("stop").agg((F.count(F.lit(1)) == 1).alias("once__"))
+    rows = stops.join(once, "stop", "left").withColumn("alike__", F.coalesce(~F.col("estimated") & F.col("once__"), F.lit(False))).drop("once__")
+    alike = rows.filter("alike__").select("stop", F.struct(*name).alias("like__"))
+    first = alike.groupBy("like__").agg(F.min("stop").alias("first__"))
+    own = rows.filter("not alike__").drop("alike__")
+    none = lambda c: F.lit(None).cast(stops.schema[c].dataType).alias(c)
+    one = first.select(F.col("first__").alias("stop"), *[F.col(f"like__.{c}").alias(c) for c in name], F.lit(False).alias("estimated"), *[none(c) for c in ("own_lat", "own_lon", "contexts")])
+    some = own.select(*one.columns).unionByName(one)
+    told = ("ord", "lat", "lon", "rank", "in_town", "exact", "estimated", "score", "own_lat", "own_lon")  # nothing else of a pair counts
+    pairs = written(assess_candidates(some, candidates, country).select("stop", "accepted", *[F.when(F.col("accepted"), F.col(c)).alias(c) for c in told]), "assessed")
+    made = written(resolve(some, pairs, fuzzy), "resolved")
+    shared = alike.join(first, "like__").select("stop", "first__").join(made.withColumnRenamed("stop", "first__"), "first__").drop("first__")
+    return made.join(own.select("stop").distinct(), made["stop"].eqNullSafe(own["stop"]), "left_semi").unionByName(shared)
 
 
 def identity_matches(stops: DataFrame, candidates: DataFrame) -> DataFrame:
