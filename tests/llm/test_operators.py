@@ -476,3 +476,10 @@ def test_lm_scores_by_hand_and_whatever_the_partitions(spark):
     want = Counter((i, held(i), len(tokens(t)), sum(c[x] > 0 for x in tokens(t)), n, round(sum(math.log10((c[x] + 1) / (n + v + 1)) for x in tokens(t)), 6)) for i, t in rows)
     assert Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in one) == want
     assert all(r["score"] < 0 and r["bits_per_byte"] > 0 for r in one)
+
+
+def test_weights_learn_from_every_string(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lmscore, "train_online", lambda model, parts: seen.extend(len(k) for k, _ in parts))
+    lmscore.fit(spark.range(620_000).selectExpr("id as gram", "1L as n"))
+    assert sum(seen) == 620_000 and {*seen[:-1]} == {lmscore.LEARN_BATCH}
