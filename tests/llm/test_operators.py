@@ -483,3 +483,28 @@ def test_weights_learn_from_every_string(spark, monkeypatch):
     monkeypatch.setattr(lmscore, "train_online", lambda model, parts: seen.extend(len(k) for k, _ in parts))
     lmscore.fit(spark.range(620_000).selectExpr("id as gram", "1L as n"))
     assert sum(seen) == 620_000 and {*seen[:-1]} == {lmscore.LEARN_BATCH}
+
+
+def test_lm_model_is_sent_compressed():
+    import pickle
+
+    state = np.zeros(1 << 20, np.uint16)
+    state[::7] = 257
+    model = lmscore.Mixer(state, 16, lmscore.start_weights(), lmscore.start_refine())
+    sent = pickle.dumps(model)
+    assert len(sent) < state.nbytes / 4
+    again = pickle.loads(sent)
+    assert (again.state == state).all() and (again.weights == model.weights).all() and again.bits == 16
+
+
+def test_strings_of_many_buckets_come_in_one_order(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lmscore, "train_online", lambda model, parts: seen.append([np.concatenate(x) for x in zip(*parts, strict=True)]))
+    strings = spark.range(20_000).selectExpr("id * id % 15000 as gram", "1L as n")
+    for size in (1 << 19, 1000):
+        monkeypatch.setattr(lmscore, "RANGE", size)
+        lmscore.fit(strings)
+    c = Counter(i * i % 15000 for i in range(20_000))
+    for key, n in seen:
+        assert (np.diff(lmscore.mix(key).astype(object)) > 0).all()
+        assert dict(zip(key.tolist(), n.tolist(), strict=True)) == c
