@@ -508,3 +508,30 @@ def test_strings_of_many_buckets_come_in_one_order(spark, monkeypatch):
     for key, n in seen:
         assert (np.diff(lmscore.mix(key).astype(object)) > 0).all()
         assert dict(zip(key.tolist(), n.tolist(), strict=True)) == c
+
+
+def test_words_of_several_classes_are_spelled_in_bounded_spans(monkeypatch):
+    """A span counts a word once for each of its classes; a word has the same bits in any span."""
+    import pyarrow as pa
+
+    words = [f"word{i}".encode() for i in range(300)] + [b"w" * 1500]
+    model = lmscore.Mixer(np.zeros(lmscore._DENSE_SLOTS + (5 << 16), np.uint16), 16, lmscore.start_weights(), lmscore.start_refine())
+    each, classes = [w for w in words for _ in range(lmscore.CLASSES)], np.tile(np.arange(lmscore.CLASSES), len(words))
+    want = model.word_bits(each, classes)
+    sizes, plain = [], lmscore.grams
+    monkeypatch.setattr(lmscore, "CHUNK", 2000)
+    monkeypatch.setattr(lmscore, "grams", lambda ws: sizes.append(sum(len(w) + 1 for w in ws)) or plain(ws))
+    assert model.word_bits(each, classes) == pytest.approx(want, rel=1e-12) and max(sizes) <= 2000
+
+    class Plan:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    sizes.clear()
+    counts = pa.array([[1] * lmscore.CLASSES] * len(words), pa.list_(pa.int64()))
+    out = list(lmscore._strings(Plan())(iter([pa.RecordBatch.from_arrays([pa.array(words), counts], ["word", "n"])])))
+    assert max(sizes) <= 2000 and sum(sizes) == lmscore.CLASSES * sum(len(w) + 1 for w in words)
+    assert sum(int(lmscore.joined(b.column("n"), np.int64).sum()) for b in out) == sum(sizes)
