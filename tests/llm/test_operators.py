@@ -535,3 +535,39 @@ def test_words_of_several_classes_are_spelled_in_bounded_spans(monkeypatch):
     out = list(lmscore._strings(Plan())(iter([pa.RecordBatch.from_arrays([pa.array(words), counts], ["word", "n"])])))
     assert max(sizes) <= 2000 and sum(sizes) == lmscore.CLASSES * sum(len(w) + 1 for w in words)
     assert sum(int(lmscore.joined(b.column("n"), np.int64).sum()) for b in out) == sum(sizes)
+
+
+def test_classes_are_learned_from_every_text(spark):
+    """All texts against a plain version, whatever the partitions."""
+    from zlib import crc32
+
+    some = random.Random(5)
+    topics = [[f"t{t}w{i}" for i in range(12)] for t in range(11)]
+    texts = [" ".join(some.choices(topics[some.randrange(11)], k=some.randrange(1, 30))) for _ in range(3000)] + ["", " \n", "t0w0 " * 5000]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    packed = lmscore.word_buckets(docs).collect()
+    assert sum(int(np.frombuffer(r["n"], np.int32).sum()) for r in packed) == sum(len(t.split()) for t in texts)
+    got = lmscore.learn_classes(lmscore.word_buckets(docs))
+    assert (got == lmscore.learn_classes(lmscore.word_buckets(docs.repartition(7)))).all()
+    x = np.zeros((len(texts), lmscore.CLASS_BUCKETS))
+    for row, t in zip(x, texts, strict=True):
+        for w in t.encode().split():
+            row[crc32(w) % lmscore.CLASS_BUCKETS] += 1
+    x = x[x.sum(axis=1) > 0]
+    unit = np.rint(np.sqrt(x.reshape(len(x), -1, lmscore.SPLIT_BUCKETS).sum(axis=1) / x.sum(axis=1)[:, None]) * lmscore.ROOT_STEPS)
+    own = np.zeros(len(x), int)
+    for k in range(1, lmscore.CLASSES):
+        ways = []
+        for c in range(k):
+            rest = unit[own == c] - unit[own == c].mean(axis=0)
+            ways.append(np.linalg.svd(rest, full_matrices=False)[1:])
+        c = max(range(k), key=lambda c: ways[c][0][0])
+        axis = ways[c][1][0] * np.sign(ways[c][1][0][np.abs(ways[c][1][0]).argmax()])
+        own[np.flatnonzero(own == c)[(unit[own == c] - unit[own == c].mean(axis=0)) @ axis > 0]] = k
+    for _ in range(lmscore.CLASS_ROUNDS):
+        words = np.stack([x[own == k].sum(axis=0) for k in range(lmscore.CLASSES)], axis=1) + 0.2
+        n = np.bincount(own, minlength=lmscore.CLASSES) + 1.0
+        table = np.round(np.concatenate([np.log(words / words.sum(axis=0)), np.log(n / n.sum())[None]]), 6)
+        own = (x @ table[:-1] + table[-1]).argmax(axis=1)
+    assert got == pytest.approx(table, abs=2e-6) and len({*own.tolist()}) == lmscore.CLASSES
+    assert lmscore.learn_classes(lmscore.word_buckets(docs.limit(0)))[-1] == pytest.approx([-np.log(lmscore.CLASSES)] * lmscore.CLASSES)
