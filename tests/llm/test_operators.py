@@ -571,3 +571,41 @@ def test_classes_are_learned_from_every_text(spark):
         own = (x @ table[:-1] + table[-1]).argmax(axis=1)
     assert got == pytest.approx(table, abs=2e-6) and len({*own.tolist()}) == lmscore.CLASSES
     assert lmscore.learn_classes(lmscore.word_buckets(docs.limit(0)))[-1] == pytest.approx([-np.log(lmscore.CLASSES)] * lmscore.CLASSES)
+
+
+def test_sums_of_a_pass_travel_in_packed_rows(spark):
+    """Each task gives a few rows whatever the number of sums; the last row is shorter."""
+    buckets = lmscore.word_buckets(spark.createDataFrame([(f"w{i} w{i % 7} w1",) for i in range(900)], "text string").repartition(3))
+    size, sent = lmscore.CLASS_BUCKETS * 3 + 5, []
+
+    class Seen:
+        def mapInArrow(self, run, kind):
+            found = buckets.mapInArrow(run, kind)
+            sent.append(found.count())
+            return found
+
+    def stat(place, n, per):
+        return np.concatenate([np.bincount(place, weights=n, minlength=lmscore.CLASS_BUCKETS)] * 3 + [[len(per)] * 5]).astype(np.int64)
+
+    got = lmscore._added(Seen(), stat, size)
+    want = sum(stat(np.frombuffer(r["place"], np.uint16).astype(int), np.frombuffer(r["n"], np.int32), np.frombuffer(r["per"], np.int32)) for r in buckets.collect())
+    assert (got == want).all() and got[-1] == 900
+    assert sent[0] <= 4 * buckets.rdd.getNumPartitions() < np.count_nonzero(want)
+
+
+def test_groups_are_read_as_by_a_plain_version():
+    """Words in the order in which they come, numbers of tokens and classes, over several slices and chunks."""
+    from zlib import crc32
+
+    import pyarrow as pa
+
+    some = random.Random(8)
+    texts = [None, "", "A b\x0bB\x0c C\x1c d\x85", *(" ".join(f"W{some.randrange(9000)}" for _ in range(60_000)) for _ in range(7)), "İ Ä a", " \n", None]
+    table = np.log(np.random.default_rng(2).random((lmscore.CLASS_BUCKETS + 1, lmscore.CLASSES)))
+    words, crc, token, first, classes, size = lmscore.read_group(pa.chunked_array([texts[:4], texts[4:], []], pa.string()), table)
+    split = [[*(t or "").encode().lower().split(), lmscore.END] for t in texts]
+    assert words == list(dict.fromkeys(w for t in split for w in t)) and crc.tolist() == [crc32(w) for w in words]
+    assert [words[i] for i in token] == [w for t in split for w in t]
+    assert first.tolist() == np.cumsum([0, *map(len, split[:-1])]).tolist() and size.tolist() == [sum(len(w) + 1 for w in t) - 2 for t in split]
+    score = np.array([sum((table[crc32(w) % lmscore.CLASS_BUCKETS] for w in t[:-1]), np.zeros(lmscore.CLASSES)) for t in split]) + table[-1]
+    assert (classes == score.argmax(axis=1)).all()
