@@ -367,6 +367,12 @@ def test_secrets_long_values_repeats_and_other_columns(spark):
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {0: "x password=[SECRET] y", 1: "a [SECRET] b", 2: texts[2], 3: "x password=[SECRET] y"}
 
 
+def test_secrets_filtered_plan_stays_small(spark):
+    found = secrets.scan(spark.createDataFrame([(1, "x password=k3Jd9fQ2mZ81 y", None)], "doc_id long, text string, source string"))
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    assert size(found.filter("is_secret and score > 0.1")) < 2 * size(found)
+
+
 def brute_top_k(rows, queries, k):
     docs = [(i, topk.tokenize(t or "")) for i, t in rows if i is not None]
     n, average = len(docs), sum(len(w) for _, w in docs) / max(1, len(docs))
